@@ -3,7 +3,8 @@
 ``history`` is every row of ``events``, ``daily`` every row of ``orders``, ``tolerant`` every row
 of ``events`` again with broken features among them. Keys are numbered by twos in history and by
 threes in daily, so the feeds overlap on part of their keys at any scale; both have copies and
-null keys. ``quakelake.fixtures.oracle`` states the same rows in SQL, without the JSON step.
+null keys. Magnitudes are binary fractions, so their sums are exact in any order.
+``quakelake.fixtures.oracle`` states the same rows in SQL, without the JSON step.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ def _history_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("k"),
         (F.when(k % 40 == 1, k - 1).otherwise(k) * 2).alias("key"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
-        F.when(k % 17 != 0, F.col("value") / 50).alias("mag"),
+        F.when(k % 17 != 0, F.floor(F.col("value") * 64) / 4096).alias("mag"),
         F.col("event_type").alias("label"),
         F.col("event_type").alias("tag"),
         "nation",
@@ -69,7 +70,7 @@ def _daily_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("k"),
         (F.when(k % 50 == 1, k - 1).otherwise(k) * 3).alias("key"),
         (F.unix_millis(F.col("o_orderdate").cast("timestamp")) + k * 1000 % _DAY_MILLIS).alias("ms"),
-        (F.col("o_totalprice") / 60000).alias("mag"),
+        (F.floor("o_totalprice") / 65536).alias("mag"),
         F.col("o_orderstatus").alias("label"),
         F.col("o_orderpriority").alias("tag"),
         "nation",
