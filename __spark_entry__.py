@@ -45,8 +45,10 @@ from quakelake.plans import (  # noqa: E402
     merge_gold,
     with_load_time,
 )
+from quakelake.schema import FEATURE_COLLECTION  # noqa: E402
 from quakelake.session import pin_utc, shared_dir  # noqa: E402
 from quakelake.sources import (  # noqa: E402
+    POSITION,
     VersionedTable,
     land_documents,
     land_payloads,
@@ -56,6 +58,7 @@ from quakelake.sources import (  # noqa: E402
     scan_documents,
     scan_lines,
     scan_text,
+    with_position,
     write_lines,
 )
 
@@ -243,10 +246,8 @@ def _scd1_merge(lake: Lake) -> DataFrame:
 
 
 def _gold_ordered(lake: Lake) -> DataFrame:
-    position = ["_metadata.file_path", "_metadata.row_index"]
-    gold, daily = (table.read().select("*", *position) for table in (lake.historic(), lake.daily()))
-    ordered = ordered_by_key(upsert(gold, daily), "file_path", "row_index")
-    return ordered.drop("file_path", "row_index", "insert_dt")
+    gold, daily = (with_position(side) for side in _sides(lake))
+    return ordered_by_key(upsert(gold, daily), *POSITION).drop(*POSITION)
 
 
 def _distinct_daily_keys(lake: Lake) -> DataFrame:
@@ -271,10 +272,9 @@ def _json_round_trip(lake: Lake) -> DataFrame:
 def _bronze_landing(lake: Lake) -> DataFrame:
     path = f"{lake.root}/landing/{uuid.uuid4().hex}"
     land_payloads(lake.spark, lake.payloads("history"), path, RUN_DATE)
-    landed = lake.spark.read.text(path, wholetext=True)
-    features = explode_features(parse_documents(landed.select("value")))
-    counted = features.agg(F.count("*").alias("n_features"))
-    return counted.select(F.lit(STAMP).alias("ingest_date"), "n_features")
+    landed = lake.spark.read.schema("value STRING, ingest_date STRING").text(path, wholetext=True)
+    collection = F.from_json("value", FEATURE_COLLECTION).features
+    return landed.groupBy("ingest_date").agg(F.sum(F.size(collection)).alias("n_features"))
 
 
 def _parquet_round_trip(lake: Lake) -> DataFrame:

@@ -16,7 +16,6 @@ from quakelake.operators.flatten import (
 )
 from quakelake.operators.merge import (
     distinct_keys,
-    keys_of,
     ordered_by_key,
     rows_also_in,
     rows_only_in,
@@ -31,7 +30,6 @@ __all__ = [
     "explode_features",
     "explode_raw_features",
     "flatten_features",
-    "keys_of",
     "ordered_by_key",
     "plain_silver",
     "rejected_rows",

@@ -1,10 +1,9 @@
 """Latest-wins upsert by key. A null key never matches; copies inside one side all stay.
 
-Semi and anti joins here need only the other side's keys, so that side is one narrow column.
-The joins are left to Spark: broadcast when the keys are known to be small, else sort-merge,
-where adaptive execution splits a hot (or null) key of the wide side over many tasks. For that
-the key side must come straight from its shuffle, so it is not deduplicated inside the join;
-``distinct_keys`` is for a caller that stores the keys first.
+Semi and anti joins need only the keys of the other side, so that side is one narrow column of
+distinct keys: copies collapse before their shuffle, and a hot key arrives once. The join method
+is left to Spark, which broadcasts keys it knows to be few and sort-merges the rest; adaptive
+execution then splits a hot (or null) key of the wide side over many tasks.
 """
 
 from __future__ import annotations
@@ -15,24 +14,29 @@ from pyspark.sql import functions as F
 KEY = "ids"
 
 
-def keys_of(rows: DataFrame) -> DataFrame:
-    """The keys that can match at all."""
-    return rows.select(KEY).filter(F.col(KEY).isNotNull())
+def distinct_keys(rows: DataFrame) -> DataFrame:
+    """Each key that can match at all, once."""
+    return rows.select(KEY).filter(F.col(KEY).isNotNull()).distinct()
 
 
-def distinct_keys(rows: DataFrame) -> DataFrame:
-    """Each key once; copies collapse before the shuffle."""
-    return keys_of(rows).distinct()
+def _join_keys(rows: DataFrame) -> DataFrame:
+    """Distinct keys that the join shuffles itself.
+
+    Adaptive execution splits a skewed partition only where both inputs come straight from the
+    join's own shuffle. Appending empty text keeps the join from reusing the shuffle below
+    ``distinct``, at the price of moving the narrow keys once more.
+    """
+    return distinct_keys(rows).select(F.concat(KEY, F.lit("")).alias(KEY))
 
 
 def rows_only_in(rows: DataFrame, others: DataFrame) -> DataFrame:
     """Left anti: rows whose key ``others`` lacks."""
-    return rows.join(keys_of(others), [KEY], "left_anti")
+    return rows.join(_join_keys(others), [KEY], "left_anti")
 
 
 def rows_also_in(rows: DataFrame, others: DataFrame) -> DataFrame:
     """Left semi: rows whose key ``others`` has."""
-    return rows.join(keys_of(others), [KEY], "left_semi")
+    return rows.join(_join_keys(others), [KEY], "left_semi")
 
 
 def unmatched_rows(gold: DataFrame, daily: DataFrame) -> DataFrame:
@@ -45,15 +49,17 @@ def upsert(gold: DataFrame, daily: DataFrame, daily_keys: DataFrame | None = Non
 
     Daily rows new to gold and daily rows that replace something are together all of daily, so
     one anti join does the work and daily is not joined at all. The key becomes the first column.
+    ``daily_keys`` are the distinct keys of daily when the caller has stored them: their size is
+    then known before the join is planned, and few keys spare gold its shuffle altogether.
     """
-    keys = daily if daily_keys is None else daily_keys
-    return rows_only_in(gold, keys).unionByName(daily)
+    keys = _join_keys(daily) if daily_keys is None else daily_keys
+    return gold.join(keys, [KEY], "left_anti").unionByName(daily)
 
 
 def ordered_by_key(rows: DataFrame, *tie_break: str) -> DataFrame:
     """Total order by key, nulls first.
 
-    Sorting puts equal sort keys into one task. Name tie-break columns to let a hot key spread;
-    on a file scan ``_metadata.file_path`` and ``_metadata.row_index`` tell even copies apart.
+    Rows with equal sort values end up in one task. Name tie-break columns to let a hot key
+    spread; a row's file and position in it tell even copies apart.
     """
     return rows.orderBy(F.asc_nulls_first(KEY), *tie_break)

@@ -8,8 +8,9 @@ from quakelake.functions.times import load_time, load_time_text
 from quakelake.operators.checked import checked_rows, explode_raw_features, with_derived
 from quakelake.operators.flatten import plain_silver
 from quakelake.operators.merge import distinct_keys, ordered_by_key, upsert
+from quakelake.session import sized_shuffles
 from quakelake.sources.silver_lines import read_silver, write_outcomes
-from quakelake.sources.tables import EmptyBatchError, VersionedTable
+from quakelake.sources.tables import POSITION, EmptyBatchError, VersionedTable, with_position
 
 # Gold questions about recent days skip row groups by the event time.
 GOLD_CLUSTER = ("time",)
@@ -44,23 +45,22 @@ def merge_gold(
 ) -> DataFrame:
     """Upsert the daily batch into gold, stamping every row with this load's time.
 
-    The distinct daily keys are stored first. Their size is then known when the join is planned,
-    so they are broadcast if small and sort-merged with skew splitting if not; copies of a daily
-    key are gone by then. ``ordered`` adds a total sort by key, which no reader here needs.
+    The distinct daily keys are stored first, so their size is known when the join is planned:
+    few keys are broadcast and gold is not shuffled, many are sort-merged with skew splitting.
+    ``ordered`` adds a total sort by key, which no reader here needs.
     """
-    keys = daily_keys.replace(distinct_keys(gold_daily.read()), allow_empty=True)
-    daily = gold_daily.read()
-    if not allow_empty and daily.isEmpty():
-        raise EmptyBatchError("refusing to merge an empty daily batch")
-    if ordered:
-        position = ["_metadata.file_path", "_metadata.row_index"]
-        merged = upsert(
-            gold.read().select("*", *position), daily.select("*", *position), keys
-        )
-        merged = ordered_by_key(merged, "file_path", "row_index").drop("file_path", "row_index")
+    spark = gold.spark
+    with sized_shuffles(spark, gold.location(), gold_daily.location()):
+        keys = daily_keys.replace(distinct_keys(gold_daily.read()), allow_empty=True)
+        history, daily = gold.read(), gold_daily.read()
+        if not allow_empty and daily.isEmpty():
+            raise EmptyBatchError("refusing to merge an empty daily batch")
+        if not ordered:
+            merged = with_load_time(upsert(history, daily, keys))
+            return gold.replace(merged, cluster_by=GOLD_CLUSTER, allow_empty=allow_empty)
+        history, daily = with_position(history), with_position(daily)
+        merged = ordered_by_key(upsert(history, daily, keys), *POSITION).drop(*POSITION)
         return gold.replace(with_load_time(merged), allow_empty=allow_empty)
-    merged = upsert(gold.read(), daily, keys)
-    return gold.replace(with_load_time(merged), cluster_by=GOLD_CLUSTER, allow_empty=allow_empty)
 
 
 def load_tolerant(

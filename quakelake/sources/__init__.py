@@ -7,9 +7,10 @@ from quakelake.sources.bronze import (
     scan_text,
 )
 from quakelake.sources.silver_lines import read_rejects, read_silver, write_lines, write_outcomes
-from quakelake.sources.tables import EmptyBatchError, VersionedTable
+from quakelake.sources.tables import POSITION, EmptyBatchError, VersionedTable, with_position
 
 __all__ = [
+    "POSITION",
     "EmptyBatchError",
     "VersionedTable",
     "land_documents",
@@ -20,6 +21,7 @@ __all__ = [
     "scan_documents",
     "scan_lines",
     "scan_text",
+    "with_position",
     "write_lines",
     "write_outcomes",
 ]

@@ -9,9 +9,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+POSITION = ("file_path", "row_index")
 _COMMITS = "version BIGINT, folder STRING, row_count BIGINT, committed_at TIMESTAMP"
 
 
+def with_position(stored: DataFrame) -> DataFrame:
+    """Rows read from files with the file and the row number in it: unique, and the same on a retry."""
+    return stored.select("*", *[f"_metadata.{name}" for name in POSITION])
+
+
 class EmptyBatchError(ValueError):
     """A replace was asked to swap in a table without rows."""
 
