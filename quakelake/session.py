@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from quakelake.files import stored_bytes
+
 MIB = 1 << 20
 # One shuffle partition should fit in a task's share of executor memory.
 SHUFFLE_TARGET_BYTES = 256 * MIB
@@ -26,7 +28,6 @@ def build_session(app_name: str = "quakelake", master: str | None = None, **conf
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * MIB))
     )
     if master:
@@ -58,15 +59,6 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a stored folder, from the file system's own summary (no file listing here)."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not file_system.exists(hadoop_path):
-        return 0
-    return file_system.getContentSummary(hadoop_path).getLength()
-
-
 def shuffle_partitions_for(stored: int, at_least: int) -> int:
     """Shuffle partitions for an input of ``stored`` bytes of compressed parquet.
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quakelake.files import delete_folder, exists
+
 POSITION = ("file_path", "row_index")
 _COMMITS = "version BIGINT, folder STRING, row_count BIGINT, committed_at TIMESTAMP"
 
@@ -42,12 +43,9 @@ class VersionedTable:
 
     def commits(self) -> DataFrame:
         """The commit log: one small row per replace."""
-        try:
-            return self.spark.read.schema(_COMMITS).json(self._log)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, self._log):
             return self.spark.createDataFrame([], _COMMITS)
+        return self.spark.read.schema(_COMMITS).json(self._log)
 
     def _last(self) -> tuple[int, str] | None:
         row = (
@@ -115,12 +113,7 @@ class VersionedTable:
 
     def _drop_before(self, first_kept: int) -> None:
         """Delete the data of replaced versions; each is a whole copy of the table."""
-        jvm = self.spark._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        # One row per replace that still has a folder: at most a few.
-        old = self.commits().filter(
-            F.col("version").between(first_kept - 2, first_kept - 1)
-        ).select("folder")
-        for row in old.toLocalIterator():
-            folder = jvm.org.apache.hadoop.fs.Path(self._folder(row["folder"]))
-            folder.getFileSystem(conf).delete(folder, True)
+        # One row per replace whose folder may still be there: two at most.
+        old = self.commits().filter(F.col("version").between(first_kept - 2, first_kept - 1))
+        for row in old.select("folder").toLocalIterator():
+            delete_folder(self.spark, self._folder(row["folder"]))
