@@ -47,60 +47,62 @@ def _node(path: str) -> Column:
     return F.try_variant_get(_FEATURE, path, "variant")
 
 
-def _typed(path: str, rule: Rule) -> Column:
-    return F.try_variant_get(_FEATURE, path, rule.type)
-
-
-def _read(path: str, rule: Rule) -> Column:
-    value = _typed(path, rule)
+def _filled(name: str, path: str, rule: Rule) -> Column:
+    """The typed value with its default put in."""
+    value = F.col(name)
     if rule.default is None:
         return value
     default = F.lit(rule.default).cast(rule.type)
     if rule.null_too:
         return F.coalesce(value, default)
-    return F.when(_node(path).isNull(), default).otherwise(value)
+    return F.when(value.isNull() & _node(path).isNull(), default).otherwise(value)
 
 
 def _complaint(name: str, path: str, rule: Rule) -> Column:
-    """Why the field breaks its rule, or null."""
-    node, value = _node(path), _typed(path, rule)
-    is_null = F.is_variant_null(node)
-    checks = []
-    if rule.need in ("key", "value"):
-        checks.append(F.when(node.isNull(), f"missing {name}"))
-    if rule.need == "value":
-        checks.append(F.when(is_null, f"null {name}"))
-    if rule.type != "string":
-        checks.append(F.when(node.isNotNull() & ~is_null & value.isNull(), f"bad {name}"))
-    return F.coalesce(*checks) if checks else F.lit(None).cast("string")
+    """Why the field breaks its rule, or null. Only a null value needs a look at the JSON."""
+    node = _node(path)
+    why = F.when(node.isNull(), F.lit(f"missing {name}" if rule.need != "optional" else None))
+    why = why.when(F.is_variant_null(node), F.lit(f"null {name}" if rule.need == "value" else None))
+    return F.when(F.col(name).isNull(), why.otherwise(F.lit(f"bad {name}")))
 
 
-def _is_object(path: str) -> Column:
-    return F.coalesce(F.schema_of_variant(_node(path)).startswith("OBJECT"), F.lit(False))
+def _not_object(path: str, required: str, message: str) -> Column:
+    """``message`` when no object is at ``path``; ``required`` is a field that must be inside it."""
+    is_object = F.coalesce(F.schema_of_variant(_node(path)).startswith("OBJECT"), F.lit(False))
+    return F.when(F.col(required).isNull() & ~is_object, message)
 
 
 def _checked(features: DataFrame, mode: str) -> DataFrame:
     """All thirty fields, ``raw``, and ``reason``: the first broken rule in field order, or null."""
     rules = [(f.name, f.path, getattr(f, mode)) for f in FIELDS]
-    needs_check = [r for r in rules if r[2].need != "optional" or r[2].type != "string"]
+    typed = features.select(
+        *[F.try_variant_get(_FEATURE, path, rule.type).alias(name) for name, path, rule in rules],
+        _FEATURE,
+        "raw",
+        "problem",
+    )
+    checks = [r for r in rules if r[2].need != "optional" or r[2].type != "string"]
     reason = F.coalesce(
         F.col("problem"),
-        F.when(~_is_object("$"), "feature is not an object"),
-        F.when(~_is_object("$.properties"), "properties is not an object"),
-        *[_complaint(*r) for r in needs_check],
+        _not_object("$", "id", "feature is not an object"),
+        _not_object("$.properties", "status", "properties is not an object"),
+        *[_complaint(*r) for r in checks],
     )
-    fields = [_read(path, rule).alias(name) for name, path, rule in rules]
-    return features.select(*fields, "raw", reason.alias("reason"))
+    filled = [_filled(*r).alias(r[0]) for r in rules]
+    return typed.select(*filled, "raw", reason.alias("reason"))
+
+
+def _rows_where(checked: DataFrame, condition: Column, columns: list[str]) -> DataFrame:
+    """Filter and select. As a generator, because a plain filter is pushed below the projection
+    that reads the fields, and then reads them all a second time."""
+    return checked.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
 
 
 def strict_rows(features: DataFrame) -> DataFrame:
     """The thirty typed fields; the job fails on the first feature that breaks a rule."""
-    checked = _checked(features, "strict")
-    names = [f.name for f in FIELDS]
-    no_complaint = F.when(F.col("reason").isNull(), True).otherwise(
-        F.raise_error(F.concat_ws(": ", "reason", "raw")).cast("boolean")
-    )
-    return checked.filter(no_complaint).select(*names)
+    failure = F.raise_error(F.concat_ws(": ", "reason", "raw")).cast("boolean")
+    passes = F.when(F.col("reason").isNull(), True).otherwise(failure)
+    return _rows_where(_checked(features, "strict"), passes, [f.name for f in FIELDS])
 
 
 def checked_rows(features: DataFrame) -> DataFrame:
@@ -110,12 +112,13 @@ def checked_rows(features: DataFrame) -> DataFrame:
 
 def tolerant_rows(features: DataFrame) -> DataFrame:
     """The thirty tolerant fields of the features that pass."""
-    return checked_rows(features).filter(F.col("reason").isNull()).drop(*REJECTS.names)
+    passes = F.col("reason").isNull()
+    return _rows_where(checked_rows(features), passes, [f.name for f in FIELDS])
 
 
 def rejected_rows(features: DataFrame) -> DataFrame:
     """What ``tolerant_rows`` leaves out."""
-    return checked_rows(features).filter(F.col("reason").isNotNull()).select(*REJECTS.names)
+    return _rows_where(checked_rows(features), F.col("reason").isNotNull(), REJECTS.names)
 
 
 def with_derived(rows: DataFrame) -> DataFrame:
