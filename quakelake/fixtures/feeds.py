@@ -215,13 +215,18 @@ def _documents(features: DataFrame, separator: str) -> DataFrame:
     )
 
 
+def _by_document(base: DataFrame) -> DataFrame:
+    """The one shuffle of a feed, while the rows are still narrow."""
+    return base.repartition("document")
+
+
 def history(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
-    return _documents(_regular(_history_base(spark, sf_dir)), separator)
+    return _documents(_regular(_by_document(_history_base(spark, sf_dir))), separator)
 
 
 def daily(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
-    return _documents(_regular(_daily_base(spark, sf_dir)), separator)
+    return _documents(_regular(_by_document(_daily_base(spark, sf_dir))), separator)
 
 
 def tolerant(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
-    return _documents(_with_faults(_history_base(spark, sf_dir)), separator)
+    return _documents(_with_faults(_by_document(_history_base(spark, sf_dir))), separator)

@@ -49,12 +49,11 @@ def merge_gold(
     few keys are broadcast and gold is not shuffled, many are sort-merged with skew splitting.
     ``ordered`` adds a total sort by key, which no reader here needs.
     """
-    spark = gold.spark
-    with sized_shuffles(spark, gold.location(), gold_daily.location()):
+    if gold_daily.row_count() == 0 and not allow_empty:
+        raise EmptyBatchError("refusing to merge an empty daily batch")
+    with sized_shuffles(gold.spark, gold.location(), gold_daily.location()):
         keys = daily_keys.replace(distinct_keys(gold_daily.read()), allow_empty=True)
         history, daily = gold.read(), gold_daily.read()
-        if not allow_empty and daily.isEmpty():
-            raise EmptyBatchError("refusing to merge an empty daily batch")
         if not ordered:
             merged = with_load_time(upsert(history, daily, keys))
             return gold.replace(merged, cluster_by=GOLD_CLUSTER, allow_empty=allow_empty)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quakelake.files import delete_folder, exists
@@ -47,24 +47,26 @@ class VersionedTable:
             return self.spark.createDataFrame([], _COMMITS)
         return self.spark.read.schema(_COMMITS).json(self._log)
 
-    def _last(self) -> tuple[int, str] | None:
-        row = (
-            self.commits()
-            .orderBy(F.desc("version"), F.desc("committed_at"))
-            .select("version", "folder")
-            .first()
-        )
-        return (row["version"], row["folder"]) if row else None
+    def _recent(self, count: int) -> list[Row]:
+        """The last few commits, newest first."""
+        return self.commits().orderBy(F.desc("version"), F.desc("committed_at")).take(count)
+
+    def _current(self) -> Row:
+        recent = self._recent(1)
+        if not recent:
+            raise FileNotFoundError(f"no committed version under {self.path}")
+        return recent[0]
 
     def exists(self) -> bool:
-        return self._last() is not None
+        return bool(self._recent(1))
+
+    def row_count(self) -> int:
+        """Rows of the committed content, as counted when it was written."""
+        return self._current()["row_count"]
 
     def location(self) -> str:
         """Folder of the committed content."""
-        last = self._last()
-        if last is None:
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        return self._folder(last[1])
+        return self._folder(self._current()["folder"])
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.location())
@@ -81,8 +83,8 @@ class VersionedTable:
         ``cluster_by`` sorts inside each task, with no shuffle, so that row-group statistics on
         those columns let later filters skip data. The last ``keep`` versions stay readable.
         """
-        last = self._last()
-        version = last[0] + 1 if last else 1
+        recent = self._recent(keep + 1)
+        version = recent[0]["version"] + 1 if recent else 1
         folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
         if cluster_by:
             rows = rows.sortWithinPartitions(*cluster_by)
@@ -94,12 +96,15 @@ class VersionedTable:
         )
         written = self.spark.read.parquet(self._folder(folder))
         stored = written.count()  # from the parquet footers
-        if stored != seen.get["row_count"]:
-            raise RuntimeError(f"{folder}: {stored} rows stored, {seen.get['row_count']} produced")
-        if stored == 0 and not allow_empty:
+        produced = seen.get["row_count"]
+        if stored != produced or (stored == 0 and not allow_empty):
+            delete_folder(self.spark, self._folder(folder))
+            if stored != produced:
+                raise RuntimeError(f"{self.path}: {stored} rows stored, {produced} produced")
             raise EmptyBatchError(f"refusing to replace {self.path} by an empty table")
         self._commit(version, folder, stored)
-        self._drop_before(version - keep + 1)
+        for old in recent[max(keep, 1) - 1 :]:  # each is a whole copy of the table
+            delete_folder(self.spark, self._folder(old["folder"]))
         return written
 
     def _commit(self, version: int, folder: str, row_count: int) -> None:
@@ -110,10 +115,3 @@ class VersionedTable:
             F.current_timestamp().alias("committed_at"),
         )
         commit.coalesce(1).write.mode("append").json(self._log)
-
-    def _drop_before(self, first_kept: int) -> None:
-        """Delete the data of replaced versions; each is a whole copy of the table."""
-        # One row per replace whose folder may still be there: two at most.
-        old = self.commits().filter(F.col("version").between(first_kept - 2, first_kept - 1))
-        for row in old.select("folder").toLocalIterator():
-            delete_folder(self.spark, self._folder(row["folder"]))

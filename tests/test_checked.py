@@ -1,0 +1,183 @@
+import json
+
+import pytest
+
+from quakelake.operators import (
+    checked_rows,
+    explode_raw_features,
+    rejected_rows,
+    strict_rows,
+    tolerant_rows,
+    with_derived,
+)
+from quakelake.schema import FIELDS, TOLERANT_SILVER
+
+
+def only(rows):
+    got = rows.collect()
+    assert len(got) == 1
+    return got[0]
+
+
+def test_tolerant_keeps_a_complete_feature(lines, feature, collection):
+    rows = tolerant_rows(explode_raw_features(lines(collection(feature()))))
+    assert rows.columns == [f.name for f in FIELDS]
+    assert len(rows.columns) == 30
+    row = only(rows)
+    assert (row["id"], row["mag"], row["felt"], row["mmi"], row["depth"]) == ("ev1", 4.5, 3.0, None, 7.0)
+    assert row["time"] == "1729555199999"
+
+
+FILLED = [
+    (("place",), {}, "place", "Unknown"),
+    ((), {"place": None}, "place", None),
+    ((), {"mag": None}, "mag", 0.0),
+    (("mag",), {}, "mag", 0.0),
+    ((), {"mag": "1.5"}, "mag", 1.5),
+    ((), {"mag": 5}, "mag", 5.0),
+    ((), {"mmi": 3}, "mmi", 3.0),
+    (("felt",), {}, "felt", 0.0),
+    ((), {"felt": None}, "felt", 0.0),
+    (("cdi", "dmin", "rms", "gap"), {}, "gap", 0.0),
+    ((), {"status": None}, "status", None),
+    ((), {"title": None}, "title", None),
+    ((), {"sig": None}, "sig", None),
+    ((), {"tsunami": "1"}, "tsunami", 1),
+    (("ids", "sources", "types", "nst", "tz", "alert"), {}, "ids", None),
+    ((), {"coordinates": (1, 2, None)}, "depth", 0.0),
+    ((), {"coordinates": (1, 2, 3, 4)}, "depth", 3.0),
+    ((), {"time": "abc"}, "time", "abc"),
+    (("time",), {}, "time", None),
+]
+
+
+def cases(feature, table):
+    """One feature per case, numbered by its code (or title, where the code is what is missing)."""
+    made = []
+    for number, (without, changes, *_) in enumerate(table):
+        numbered = {"code": str(number), "title": str(number)} | changes
+        made.append(feature(without=without, **numbered))
+    return made
+
+
+def number_of(row):
+    return int(row["code"] if row["code"] is not None else row["title"])
+
+
+def test_tolerant_fills_in(lines, feature, collection):
+    rows = tolerant_rows(explode_raw_features(lines(collection(*cases(feature, FILLED))))).collect()
+    found = {number_of(row): row for row in rows}
+    assert len(found) == len(FILLED)
+    for number, (_, _, column, value) in enumerate(FILLED):
+        assert found[number][column] == value, FILLED[number]
+
+
+SET_ASIDE = [
+    (("id",), {}, "missing id"),
+    ((), {"mag": "abc"}, "bad mag"),
+    ((), {"mmi": "abc"}, "bad mmi"),
+    ((), {"felt": [1]}, "bad felt"),
+    (("status",), {}, "missing status"),
+    (("tsunami",), {}, "missing tsunami"),
+    ((), {"tsunami": None}, "null tsunami"),
+    ((), {"tsunami": "abc"}, "bad tsunami"),
+    (("sig",), {}, "missing sig"),
+    (("net",), {}, "missing net"),
+    (("code",), {}, "missing code"),
+    (("magType",), {}, "missing magType"),
+    (("type",), {}, "missing type"),
+    (("title",), {}, "missing title"),
+    (("status", "title"), {}, "missing status"),
+    ((), {"coordinates": (1, 2)}, "missing depth"),
+    ((), {"coordinates": ()}, "missing longitude"),
+    ((), {"coordinates": (1, "abc", 3)}, "bad latitude"),
+]
+
+
+def test_tolerant_sets_aside(lines, feature, collection):
+    features = explode_raw_features(lines(collection(*cases(feature, SET_ASIDE))))
+    assert tolerant_rows(features).count() == 0
+    found = {number_of(row): row["reason"] for row in checked_rows(features).collect()}
+    assert found == {number: case[2] for number, case in enumerate(SET_ASIDE)}
+    assert sorted(row["reason"] for row in rejected_rows(features).collect()) == sorted(found.values())
+
+
+def test_broken_structure_is_set_aside(lines, feature, collection):
+    no_properties, no_geometry = feature(), feature()
+    no_properties["properties"] = None
+    no_geometry["geometry"] = None
+    features = explode_raw_features(
+        lines(collection(no_properties, no_geometry, None, 7, "text", [1], feature()), "{broken", "")
+    )
+    reasons = sorted(row["reason"] for row in rejected_rows(features).collect())
+    assert reasons == sorted(
+        ["properties is not an object", "missing longitude"]
+        + ["feature is not an object"] * 4
+        + ["unreadable document"] * 2
+    )
+    assert tolerant_rows(features).count() == 1
+
+
+def test_rejects_carry_the_text(lines, feature, collection):
+    features = explode_raw_features(lines(collection(feature(without=("status",))), "{broken"))
+    raws = [row["raw"] for row in rejected_rows(features).collect()]
+    assert json.loads(raws[0]) == feature(without=("status",))
+    assert raws[1] == "{broken"
+
+
+def test_documents_without_features_give_nothing(lines, collection):
+    assert checked_rows(explode_raw_features(lines(collection(), {"type": "x"}))).count() == 0
+
+
+def test_derived_columns_come_first(lines, feature, collection):
+    rows = with_derived(tolerant_rows(explode_raw_features(lines(collection(feature(place="Roof top"))))))
+    assert rows.columns == TOLERANT_SILVER.names
+    assert [f.dataType for f in rows.schema] == [f.dataType for f in TOLERANT_SILVER]
+    row = only(rows)
+    assert (row["time"], row["area"], row["place"]) == ("2024-10-21 23:59:59", "top", "Roof top")
+
+
+STRICT_VALUES = [
+    ((), {}, "time", 1729555199999),
+    (("felt",), {}, "felt", 0),
+    ((), {"felt": None}, "felt", None),
+    ((), {"cdi": None}, "cdi", 0.0),
+    ((), {"mmi": 2}, "mmi", 2.0),
+    ((), {"place": None}, "place", None),
+    ((), {"tsunami": None}, "tsunami", None),
+    (("detail", "tz", "nst"), {}, "detail", None),
+]
+
+
+def test_strict_values(lines, feature, collection):
+    rows = strict_rows(explode_raw_features(lines(collection(*cases(feature, STRICT_VALUES)))))
+    assert len(rows.columns) == 30
+    found = {number_of(row): row for row in rows.collect()}
+    for number, (_, _, column, value) in enumerate(STRICT_VALUES):
+        assert found[number][column] == value, STRICT_VALUES[number]
+
+
+@pytest.mark.parametrize(
+    ("without", "changes", "reason"),
+    [
+        (("id",), {}, "missing id"),
+        ((), {"mag": None}, "null mag"),
+        (("place",), {}, "missing place"),
+        (("time",), {}, "missing time"),
+        ((), {"coordinates": (1, 2, None)}, "null depth"),
+        ((), {"coordinates": (1, 2)}, "missing depth"),
+    ],
+)
+def test_strict_fails(lines, feature, collection, without, changes, reason):
+    rows = strict_rows(explode_raw_features(lines(collection(feature(without=without, **changes)))))
+    with pytest.raises(Exception, match=reason):
+        rows.collect()
+
+
+def test_strict_fails_whatever_is_read(lines, feature, collection):
+    """Also when no column, or an unaffected one, is asked for."""
+    rows = strict_rows(explode_raw_features(lines(collection(feature(rms=None)))))
+    with pytest.raises(Exception, match="null rms"):
+        rows.select("id").collect()
+    with pytest.raises(Exception, match="null rms"):
+        rows.count()
