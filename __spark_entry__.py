@@ -75,11 +75,13 @@ class Lake:
         self.sf_dir = sf_dir
         self.root = f"{shared_dir(spark)}/quakelake-{uuid.uuid4().hex}"
         self._done: set[str] = set()
+        self._building = threading.RLock()
 
     def _once(self, step: str, build: Callable[[], object]) -> None:
-        if step not in self._done:
-            build()
-            self._done.add(step)
+        with self._building:
+            if step not in self._done:
+                build()
+                self._done.add(step)
 
     def table(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/{name}")

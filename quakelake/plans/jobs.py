@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quakelake.files import stored_bytes
 from quakelake.functions.times import load_time, load_time_text
 from quakelake.operators.checked import checked_rows, explode_raw_features, with_derived
 from quakelake.operators.flatten import plain_silver
 from quakelake.operators.merge import distinct_keys, ordered_by_key, upsert
-from quakelake.session import sized_shuffles
+from quakelake.session import MIB, sized_shuffles
 from quakelake.sources.silver_lines import read_silver, write_outcomes
 from quakelake.sources.tables import POSITION, EmptyBatchError, VersionedTable, with_position
 
 # Gold questions about recent days skip row groups by the event time.
 GOLD_CLUSTER = ("time",)
 LOAD_TIME = "insert_dt"
+# Keys within both bounds go to every executor: some hundred MB there, against a shuffle of gold.
+BROADCAST_KEYS = 4_000_000
+BROADCAST_BYTES = 64 * MIB
 
 
 def with_load_time(rows: DataFrame) -> DataFrame:
@@ -36,6 +41,13 @@ def load_daily(
     return gold_daily.replace(with_load_time(stored))
 
 
+def _sized_keys(table: VersionedTable) -> DataFrame:
+    """Stored keys, marked for broadcast only if their counted rows and bytes allow it."""
+    few = table.row_count() <= BROADCAST_KEYS
+    small = stored_bytes(table.spark, table.location()) <= BROADCAST_BYTES
+    return F.broadcast(table.read()) if few and small else table.read()
+
+
 def merge_gold(
     gold: VersionedTable,
     gold_daily: VersionedTable,
@@ -45,14 +57,16 @@ def merge_gold(
 ) -> DataFrame:
     """Upsert the daily batch into gold, stamping every row with this load's time.
 
-    The distinct daily keys are stored first, so their size is known when the join is planned:
-    few keys are broadcast and gold is not shuffled, many are sort-merged with skew splitting.
+    The distinct daily keys are stored first, so their size is known before the join is planned:
+    few keys are broadcast and gold is not shuffled; beyond the bounds both sides are shuffled
+    by key and adaptive execution splits hot keys.
     ``ordered`` adds a total sort by key, which no reader here needs.
     """
     if gold_daily.row_count() == 0 and not allow_empty:
         raise EmptyBatchError("refusing to merge an empty daily batch")
     with sized_shuffles(gold.spark, gold.location(), gold_daily.location()):
-        keys = daily_keys.replace(distinct_keys(gold_daily.read()), allow_empty=True)
+        daily_keys.replace(distinct_keys(gold_daily.read()), allow_empty=True)
+        keys = _sized_keys(daily_keys)
         history, daily = gold.read(), gold_daily.read()
         if not ordered:
             merged = with_load_time(upsert(history, daily, keys))

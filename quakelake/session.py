@@ -29,6 +29,8 @@ def build_session(app_name: str = "quakelake", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * MIB))
+        # Loads do not shuffle, so the scan's splits set the size of the files they write.
+        .config("spark.sql.files.maxPartitionBytes", str(256 * MIB))
     )
     if master:
         builder = builder.master(master)

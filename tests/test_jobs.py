@@ -122,3 +122,21 @@ def test_merge_plan(loaded):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("LeftAnti") == 1 and plan.count("FileScan") == 3
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_keys_are_broadcast_only_within_bounds(loaded, monkeypatch):
+    """Past either bound the merge goes another way to the same content."""
+    from quakelake.plans import jobs
+
+    def hinted():
+        keys = jobs._sized_keys(loaded["keys"])
+        return "broadcast" in keys._jdf.queryExecution().logical().toString().lower()
+
+    merge(loaded)
+    assert hinted()
+    monkeypatch.setattr(jobs, "BROADCAST_KEYS", 1)
+    assert not hinted()
+    monkeypatch.setattr(jobs, "BROADCAST_KEYS", 10)
+    monkeypatch.setattr(jobs, "BROADCAST_BYTES", 10)
+    assert not hinted()
+    assert content(merge(loaded)) == sorted([*MERGED, (None, 9.0)], key=repr)
