@@ -13,33 +13,41 @@ _FEATURE = "feature"
 
 
 def explode_raw_features(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Document lines to one row per feature: its ``raw`` text, its variant, and any ``problem``.
+    """Document lines to one row per feature: the ``feature`` as variant, ``raw`` and ``problem``.
 
-    Features are cut out as text first, so no document has to fit in one variant value. An
-    unreadable document gives one row that carries the whole text and the problem.
+    A document is parsed once, as one variant. Where that gives no feature array (the document is
+    broken, repeats a key, or is too large for one variant), its features are cut out as text and
+    parsed one by one; only then is ``raw`` set. A document that cannot be read either way gives
+    one row with its whole text and the problem.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    documents = lines.select(
-        F.col(value).alias("text"), F.from_json(F.col(value), RAW_COLLECTION, options).alias("document")
+    whole = lines.select(
+        F.col(value).alias("text"),
+        F.try_variant_get(F.try_parse_json(F.col(value)), "$.features", "ARRAY<VARIANT>").alias("whole"),
     )
-    unreadable = F.col("document").isNull() | F.col(f"document.{CORRUPT}").isNotNull()
-    whole = F.array(
-        F.struct(
-            F.col("text").alias("raw"),
-            F.lit(None).cast("variant").alias(_FEATURE),
-            F.lit("unreadable document").alias("problem"),
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    cut = F.when(F.col("whole").isNull(), F.from_json("text", RAW_COLLECTION, options))
+    documents = whole.select("text", "whole", cut.alias("cut"))
+
+    def row(raw: Column | None = None, feature: Column | None = None, problem: str | None = None) -> Column:
+        nothing = F.lit(None)
+        return F.struct(
+            (nothing if raw is None else raw).cast("string").alias("raw"),
+            (nothing if feature is None else feature).cast("variant").alias(_FEATURE),
+            F.lit(problem).cast("string").alias("problem"),
+        )
+
+    unreadable = F.col("cut").isNull() | F.col(f"cut.{CORRUPT}").isNotNull()
+    # Parsing below or inside the generator keeps later filters from repeating the parse.
+    rows = (
+        F.when(
+            F.col("whole").isNotNull(), F.transform("whole", lambda feature: row(feature=feature))
+        )
+        .when(unreadable, F.array(row(raw=F.col("text"), problem="unreadable document")))
+        .otherwise(
+            F.transform("cut.features", lambda text: row(raw=text, feature=F.try_parse_json(text)))
         )
     )
-    # Parsing inside the generator keeps later filters from repeating the parse.
-    features = F.transform(
-        "document.features",
-        lambda text: F.struct(
-            F.coalesce(text, F.lit("null")).alias("raw"),
-            F.try_parse_json(text).alias(_FEATURE),
-            F.lit(None).cast("string").alias("problem"),
-        ),
-    )
-    return documents.select(F.inline(F.when(unreadable, whole).otherwise(features)))
+    return documents.select(F.inline(rows))
 
 
 def _node(path: str) -> Column:
@@ -96,7 +104,7 @@ def _typed(features: DataFrame, rules: list[tuple[str, str, Rule]]) -> DataFrame
 
 
 def _checked(features: DataFrame, mode: str) -> DataFrame:
-    """All thirty fields, ``raw``, and ``reason``: the first broken rule in field order, or null."""
+    """All thirty fields, ``reason`` (the first broken rule in field order) and ``raw`` of a reject."""
     rules = [(f.name, f.path, getattr(f, mode)) for f in FIELDS]
     typed = _typed(features, rules)
     checks = [r for r in rules if r[2].need != "optional" or r[2].type != "string"]
@@ -107,7 +115,11 @@ def _checked(features: DataFrame, mode: str) -> DataFrame:
         *[_complaint(*r) for r in checks],
     )
     filled = [_filled(*r).alias(r[0]) for r in rules]
-    return typed.select(*filled, "raw", reason.alias("reason"))
+    checked = typed.select(*filled, _FEATURE, "raw", reason.alias("reason"))
+    raw = F.coalesce("raw", F.to_json(_FEATURE), F.lit("null"))
+    return checked.select(
+        *[f.name for f in FIELDS], F.when(F.col("reason").isNotNull(), raw).alias("raw"), "reason"
+    )
 
 
 def _rows_where(checked: DataFrame, condition: Column, columns: list[str]) -> DataFrame:
@@ -124,7 +136,7 @@ def strict_rows(features: DataFrame) -> DataFrame:
 
 
 def checked_rows(features: DataFrame) -> DataFrame:
-    """Every feature with its thirty tolerant fields, ``raw``, and the ``reason`` of a reject."""
+    """Every feature with its thirty tolerant fields; a reject also has its ``raw`` text and ``reason``."""
     return _checked(features, "tolerant")
 
 

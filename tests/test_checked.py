@@ -125,6 +125,14 @@ def test_rejects_carry_the_text(lines, feature, collection):
     assert raws[1] == "{broken"
 
 
+def test_a_repeated_key_costs_only_its_feature(lines, feature, collection):
+    twice = json.dumps(feature()).replace('"mag": 4.5', '"mag": 4.5, "mag": 5.5')
+    document = json.dumps(collection(feature(id_="ok"), "HERE")).replace('"HERE"', twice)
+    features = explode_raw_features(lines(document))
+    assert only(tolerant_rows(features))["id"] == "ok"
+    assert only(rejected_rows(features))["reason"] == "feature is not an object"
+
+
 def test_documents_without_features_give_nothing(lines, collection):
     assert checked_rows(explode_raw_features(lines(collection(), {"type": "x"}))).count() == 0
 
