@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import sys
 import threading
 import uuid
@@ -62,6 +64,10 @@ from quakelake.sources import (  # noqa: E402
     write_lines,
 )
 
+# The operators on training data are a package of their own, which may be left out.
+_found = importlib.util.find_spec("quakelake.llm")
+training_data = importlib.import_module("quakelake.llm.queries") if _found and _found.origin else None
+
 RUN_DATE = "2024-01-30"
 STAMP = "20240130"
 AS_OF = "2024-01-27"
@@ -438,13 +444,15 @@ def _bound(run: Callable[[Lake], DataFrame]) -> Callable[[SparkSession, str], Da
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator or job; each takes (spark, sf_dir)."""
-    return {name: _bound(run) for name, (run, _) in _QUERIES.items()}
+    found = {name: _bound(run) for name, (run, _) in _QUERIES.items()}
+    return found | (training_data.queries() if training_data else {})
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL. The two load-time queries have none: they show the wall clock."""
-    return {
+    found = {
         name: sql if sql.startswith("WITH") else oracle.query(sql)
         for name, (_, sql) in _QUERIES.items()
         if sql is not None
     }
+    return found | (training_data.oracle_sql() if training_data else {})
