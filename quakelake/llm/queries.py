@@ -5,15 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quakelake.llm import exact_dedup, mixing, sharding
-from quakelake.llm.support import ship, table
+from quakelake.llm import exact_dedup, mixing, packing, sharding, simhash, token_files
+from quakelake.llm.support import run_folder, ship, table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
     return planned.select("doc_id", "size", "source_size", "target", "taken")
@@ -23,7 +30,26 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_exact_dedup, op6_mixing, op8_sharding)
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = run_folder(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), target)
+    documents = token_files.read_tokens(spark, target)
+    return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+_QUERIES = (
+    op1_exact_dedup,
+    op4_simhash_near_dedup,
+    op6_mixing,
+    op8_sharding,
+    op9_token_files,
+    op10_packing,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

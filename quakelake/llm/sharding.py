@@ -61,17 +61,22 @@ def table_frame(spark: SparkSession, owners: Sequence[str]) -> DataFrame:
 
 
 def place(
-    docs: DataFrame, shards: Sequence[str] = SHARDS, size: int = TABLE_SIZE, also: Sequence[str] = ()
+    docs: DataFrame,
+    shards: Sequence[str] = SHARDS,
+    size: int = TABLE_SIZE,
+    also: Sequence[str] = (),
+    else_by: str | None = None,
 ) -> DataFrame:
     """(doc_id, slot, shard) of every row, and the columns named in ``also``.
 
-    The slot is a hash of doc_id, so repeated rows and reruns agree. A null doc_id takes the hash
-    of the text, so such rows spread as well (null texts all fall into one slot). An empty table
-    gives no rows. The broadcast table has ``size`` rows.
+    The slot is a hash of doc_id, so repeated rows and reruns agree; no other column is read. Rows
+    of null doc_id share one slot, unless ``else_by`` names a column whose hash they take instead.
+    An empty table gives no rows. The broadcast table has ``size`` rows.
     """
-    needed = [name for name in dict.fromkeys(("doc_id", *also)) if name != "text"]
-    rows = pick(docs, *needed, "text")
-    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(F.xxhash64("text"))
+    rows = pick(docs, *dict.fromkeys(("doc_id", *also, *([else_by] if else_by else []))))
+    key = F.xxhash64("doc_id")
+    if else_by:
+        key = F.when(F.col("doc_id").isNotNull(), key).otherwise(F.xxhash64(else_by))
     slots = rows.withColumn("slot", F.pmod(key, F.lit(size)).cast("int"))
     owners = F.broadcast(table_frame(docs.sparkSession, build_table(shards, size)))
     placed = slots.join(owners, "slot")
