@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakelake.llm import exact_dedup, mixing, packing, sharding, simhash, token_files, toxicity
+from quakelake.llm import exact_dedup, langid, mixing, packing, sharding, simhash, token_files, toxicity
 from quakelake.llm.support import run_folder, ship, table
 
 
@@ -25,6 +25,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
     return planned.select("doc_id", "size", "source_size", "target", "taken")
@@ -50,6 +54,7 @@ _QUERIES = (
     op1_exact_dedup,
     op3_toxicity,
     op4_simhash_near_dedup,
+    op5_language_id,
     op6_mixing,
     op8_sharding,
     op9_token_files,
