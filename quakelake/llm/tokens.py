@@ -1,21 +1,28 @@
 """Token ids of whole texts, with a cache of the words met before.
 
 The tokenizers used here never join characters across a border between a character that is not
-white space and a blank or line feed after it. So a text cut at these borders gives, piece by
-piece, the ids of the whole; each distinct piece is encoded once while it stays in the cache. Texts
-with any other white space are encoded in one piece.
+white space and a blank or line feed after it, nor across one between a letter and a full stop or
+the like. So a text cut at these borders gives, piece by piece, the ids of the whole; each distinct
+piece is encoded once while it stays in the cache. Texts with any other white space are encoded in
+one piece, as are those with a special token's string. A tokenizer that lowers letters and drops white space gets pieces without either, which
+are fewer.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 from functools import lru_cache
 
 # Pieces of one of the two generations of the cache.
-CACHE_PIECES = 1 << 18
-_PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+CACHE_PIECES = 1 << 19
+# A word whose last letter only stops and the like follow, up to white space or the end.
+_STOPS = r".,;:!?"
+_BEFORE_STOPS = rf"[^ \n{_STOPS}]*[A-Za-zÀ-ÖØ-öø-ÿ](?=[{_STOPS}]+(?:[ \n]|$))"
+_PIECE = re.compile(rf"[ \n]*{_BEFORE_STOPS}|[ \n]*[^ \n]+|[ \n]+")
+_BARE_PIECE = re.compile(rf"{_BEFORE_STOPS}|[^ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
@@ -26,6 +33,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _lowers_and_drops(parts: dict) -> bool:
+    """Whether a tokenizer file says that letters are lowered and white space gives no ids.
+
+    It does if a step lowers, and if words are what a pattern finds that white space cannot match.
+    """
+    steps = (parts["normalizer"] or {}).get("normalizers", [parts["normalizer"]])
+    splits = (parts["pre_tokenizer"] or {}).get("pretokenizers", [parts["pre_tokenizer"]])
+    first = splits[0] or {}
+    found_only = first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"]
+    matched = found_only and re.search(r"(?<!\^)\\s", first["pattern"].get("Regex", r"\s"))
+    return any(step and step["type"] == "Lowercase" for step in steps) and bool(found_only) and not matched
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, without special tokens."""
 
@@ -34,6 +54,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        self._lowers = _lowers_and_drops(parts)
+        # Strings that the tokenizer takes out of a text before anything else; none if empty.
+        added = [re.escape(token["content"]) for token in parts["added_tokens"]]
+        self._added = re.compile("|".join(added) or r"(?!)", re.IGNORECASE)
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -48,9 +74,13 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _OTHER_SPACE.search(text):
+        if _OTHER_SPACE.search(text) or self._added.search(text):
             return self.whole(text)
-        pieces = _PIECE.findall(text)
+        if self._lowers:
+            # bytes.lower changes ASCII alone; the tokenizer lowers the rest.
+            pieces = _BARE_PIECE.findall(text.encode().lower().decode())
+        else:
+            pieces = _PIECE.findall(text)
         young = self._young
         new = set(pieces).difference(young)
         if new:
