@@ -127,12 +127,13 @@ def write_tokens(
 def open_tokens(spark: SparkSession, target: str) -> DataFrame:
     """The shards, with the ids before each in the whole set in place of those in its part.
 
-    Totals of parts meet in one task, one row for each range partition of the write.
+    There is one total for each range partition of the write, so they may meet in one task and be
+    broadcast; the payload stays where it was read.
     """
     shards = spark.read.schema(SHARD).parquet(target)
     totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    opened = shards.join(before, "part")
+    opened = shards.join(F.broadcast(before), "part")
     return opened.select(*(F.col("before") + F.col("start") if n == "start" else n for n in _NAMES)).toDF(*_NAMES)
 
 
