@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakelake.llm import chat, exact_dedup, langid, mixing, packing, sharding, simhash, token_files, topk, toxicity
+from quakelake.llm import chat, exact_dedup, langid, mixing, oracle, packing, sharding, simhash, token_files, topk, toxicity
 from quakelake.llm.support import pick, run_folder, ship, table
 
 
@@ -115,4 +115,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
