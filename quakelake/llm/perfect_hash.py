@@ -38,6 +38,8 @@ class PerfectHash:
     @classmethod
     def of(cls, keys: np.ndarray) -> PerfectHash:
         """The hash of distinct keys (int64 or uint64)."""
+        if len(np.unique(keys)) != len(keys):
+            raise ValueError("keys must be distinct")
         rest = keys.view(np.uint64)
         sizes, arrays = [], []
         while len(rest):
@@ -51,9 +53,7 @@ class PerfectHash:
             rest = rest[~alone]
         words = np.concatenate(arrays).view("<u8") if arrays else np.zeros(0, "<u8")
         made = cls(sizes, words, cls._ranks(words), np.zeros(len(keys), np.uint32))
-        slots, found = made._slots(keys)
-        if not found.all():
-            raise ValueError("keys must be distinct")
+        slots, _ = made._slots(keys)
         made.prints[slots] = cls._prints(keys)
         return made
 

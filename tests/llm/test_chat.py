@@ -1,0 +1,77 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pyspark.sql import functions as F
+
+from quakelake.llm import chat, queries
+
+SCHEMA = "conv_id LONG, turn LONG, role STRING, text STRING"
+HARD = [
+    "", "\\", "\\s", "\\\\t", "</turn>", "</turn>\n", "</part>", "### ", "### user: x</turn>\n", "#### ", "<</turn>/turn>",
+    "</turn", ": ", "a\nb", "\\### Assistant: </turn> ok", "ü\U0001f600",
+]
+
+
+def read_back(formatted):
+    return formatted.select(
+        "conv_id",
+        "formatted",
+        chat.turns_of(F.col("formatted")).alias("turns"),
+        chat.learnt_text(F.col("segments")).alias("learnt"),
+    ).collect()
+
+
+def test_every_turn_is_read_back(spark):
+    rows = []
+    for conv, role in enumerate(("user", "assistant", "a: b", "x\\c", "### y", "")):
+        rows += [(conv, turn, role if turn % 3 else "assistant", text) for turn, text in enumerate(HARD)]
+    found = {row["conv_id"]: row for row in read_back(chat.format_chats(spark.createDataFrame(rows, SCHEMA)))}
+    for conv in range(6):
+        turns = [(role, text) for c, _, role, text in rows if c == conv]
+        assert [tuple(turn) for turn in found[conv]["turns"]] == turns
+        assert found[conv]["learnt"] == "".join(text for role, text in turns if role == "assistant")
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant"]), st.text("\\<>/turnpart# :s\nh", max_size=12)), min_size=1, max_size=6))
+def test_any_text_is_read_back(turns):
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    rows = spark.createDataFrame([(1, i, *turn) for i, turn in enumerate(turns)], SCHEMA)
+    assert [tuple(turn) for turn in read_back(chat.format_chats(rows))[0]["turns"]] == turns
+
+
+def test_turns_of_one_role_share_a_header(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "user", "b"), (1, 2, "assistant", "c")]
+    row = read_back(chat.format_chats(spark.createDataFrame(rows, SCHEMA)))[0]
+    assert row["formatted"] == "### user: a</part>b</turn>\n### assistant: c</turn>\n"
+
+
+def test_nulls_ties_and_repeated_rows(spark, clashing):
+    rows = [(1, None, "user", "n"), (1, 0, None, None), (1, 0, None, None), (1, 0, "user", "b"), (1, 0, "user", "a"), (None, 1, "user", "x")]
+    made = clashing(spark.createDataFrame(rows, SCHEMA))
+    found = {row["conv_id"]: [tuple(t) for t in row["turns"]] for row in read_back(chat.format_chats(made))}
+    assert found == {
+        1: [("user", "n"), ("", ""), ("", ""), ("user", "a"), ("user", "b")],
+        None: [("user", "x")],
+    }
+
+
+def test_an_empty_table_and_a_long_text(spark):
+    assert chat.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
+    long = "### " * 100_000
+    row = read_back(chat.format_chats(spark.createDataFrame([(1, 0, "assistant", long)], SCHEMA)))[0]
+    assert row["learnt"] == long
+
+
+def test_the_query_uses_no_python(spark):
+    plan = queries.op2_chat_formatting(spark, "/root/testdata/sf0.001")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in text for word in ("Python", "Pandas", "Arrow"))
+    row = plan.where("conv_id = -7").first()
+    said = queries._HARD_TEXT
+    assert row["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+    assert row["n_turns"] == 2

@@ -1,0 +1,87 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from quakelake.llm import langid, ppm
+
+WORDS = {"aa": "la mo ti sura pente", "bb": "gr kst wunz ohm pfa", "ü": "ñandú çé él über"}
+
+
+def made(number=450):
+    draw = random.Random(2)
+    rows = []
+    for i in range(number):
+        lang = list(WORDS)[i % 3]
+        text = " ".join(draw.choice(WORDS[lang].split()) for _ in range(draw.randrange(4, 30)))
+        rows.append((i, text, lang if i % 5 else None))
+    return rows
+
+
+def brute_cost(texts, classes, text):
+    """Code length by walking from the longest context to the shortest, byte by byte."""
+    follow = [Counter() for _ in range(ppm.ORDER + 1)]
+    for each in texts:
+        symbols = ppm.symbols_of(each, classes).tolist()
+        for at in range(ppm.ORDER, len(symbols)):
+            for order in range(ppm.ORDER + 1):
+                follow[order][tuple(symbols[at - order : at]), symbols[at]] += 1
+    after = [{} for _ in follow]
+    for order, counts in enumerate(follow):
+        for (context, symbol), count in counts.items():
+            after[order].setdefault(context, {})[symbol] = count
+    symbols, total = ppm.symbols_of(text, classes).tolist(), 0.0
+    for at in range(ppm.ORDER, len(symbols)):
+        for order in range(ppm.ORDER, -1, -1):
+            seen = after[order].get(tuple(symbols[at - order : at]), {})
+            number = sum(seen.values())
+            if number < ppm.LEAST_SEEN:
+                continue
+            if symbols[at] in seen:
+                total -= math.log(seen[symbols[at]] / (number + len(seen)))
+                break
+            total -= math.log(len(seen) / (number + len(seen)))
+        else:
+            total += math.log(ppm.CLASSES)
+    return total
+
+
+def test_code_lengths_match_brute_force(monkeypatch):
+    texts = [text.encode() for _, text, _ in made(60)]
+    seen = np.bincount(np.frombuffer(b"".join(map(ppm.prepared, texts)), np.uint8), minlength=256)
+    classes = ppm.classes_of(seen)
+    counts = ppm.Counts.of(np.concatenate([ppm.contexts(ppm.symbols_of(t, classes)) for t in texts]))
+    model = langid.Model.of(classes, {"x": counts})
+    for text in (b"", b"a", b"la mo ti", "unerhört ÄÖ".encode(), texts[5] * 3):
+        assert math.isclose(model.code_lengths(text)[0], brute_cost(texts, classes, text), rel_tol=1e-5)
+    whole = model.code_lengths(texts[7])[0]
+    monkeypatch.setattr(ppm, "BYTES_AT_A_TIME", 5)
+    assert math.isclose(model.code_lengths(texts[7])[0], whole, rel_tol=1e-9)
+
+
+def test_held_out_rows_are_told_apart(docs, clashing):
+    rows = made()
+    odd = [(900, None, "aa"), (901, "", "aa"), (902, "12 34!", "aa"), (903, "é" * 100_000, "zz"), (None, "la mo", "aa"), rows[0]]
+    found = langid.predict(clashing(docs(*rows, *odd))).collect()
+    assert len(found) == len(rows) + len(odd)
+    own = {i: list(WORDS)[i % 3] for i, _, _ in rows}
+    for row in found:
+        assert row["held_out"] == (row["doc_id"] is not None and zlib.crc32(str(row["doc_id"]).encode()) % 4 == 2)
+        assert 0 <= row["score"] <= 1
+        if row["doc_id"] in (900, 901, 902):
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+        elif row["doc_id"] in own:
+            assert row["lang_pred"] == own[row["doc_id"]]
+
+
+def test_languages_of_the_held_out_fold_change_nothing(docs, rows_of):
+    rows = made(200)
+    turned = [(i, text, "zz" if zlib.crc32(str(i).encode()) % 4 == 2 else lang) for i, text, lang in rows]
+    assert rows_of(langid.predict(docs(*rows))) == rows_of(langid.predict(docs(*turned)))
+
+
+def test_empty_tables_and_no_languages(docs):
+    assert langid.predict(docs()).count() == 0
+    assert {row["lang_pred"] for row in langid.predict(docs((1, "la mo"), (2, None))).collect()} == {"und"}

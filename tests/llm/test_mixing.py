@@ -1,0 +1,80 @@
+import re
+
+import pytest
+
+from quakelake.llm import mixing
+
+
+def brute_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [s for s in sizes if s is None]
+    weight = {name: weights[i % len(weights)] for i, name in enumerate(names)}
+    left, open_names, found = share * sum(sizes.values()), set(names), {}
+    while open_names:
+        total = sum(weight[name] for name in open_names)
+        over = {name for name in open_names if left * weight[name] / total >= most * sizes[name]}
+        if not over:
+            return found | {name: left * weight[name] / total for name in open_names}
+        for name in over:
+            found[name] = most * sizes[name]
+        left -= sum(most * sizes[name] for name in over)
+        open_names -= over
+    return found
+
+
+def corpus():
+    rows = []
+    for i in range(900):
+        source = ("hot", "b", "ä", None, "empty", "Z")[0 if i % 3 == 0 else i % 6]
+        text = None if source == "empty" and i % 2 else "" if source == "empty" else "w " * (i % 40) + " \x0b"
+        rows.append((i, text, None, source))
+    return rows
+
+
+def test_targets_and_copies(docs, clashing):
+    rows = corpus()
+    sizes, size = {}, {}
+    for i, text, _, source in rows:
+        size[i] = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        sizes[source] = sizes.get(source, 0) + size[i]
+    targets = brute_targets(sizes)
+    found = mixing.plan(clashing(docs(*rows)).repartition(6)).collect()
+    assert len(found) == len(rows)
+    taken = dict.fromkeys(sizes, 0)
+    of = {i: source for i, _, _, source in rows}
+    for row in found:
+        source = of[row["doc_id"]]
+        assert row["size"] == size[row["doc_id"]] and row["source_size"] == sizes[source]
+        assert row["target"] == pytest.approx(targets[source])
+        assert row["taken"] <= 2 * row["size"]
+        taken[source] += row["taken"]
+    for source, total in taken.items():
+        assert total == pytest.approx(targets[source], rel=0.15)
+
+
+def test_the_mix_holds_the_planned_copies_and_reruns_agree(docs, clashing, rows_of):
+    rows = clashing(docs(*corpus()))
+    mixed = mixing.mix(rows)
+    assert mixed.columns == rows.columns
+    copies = {row["doc_id"]: row["copies"] for row in mixing.plan(rows).collect()}
+    found = [row[0] for row in mixing.mix(rows.repartition(5)).collect()]
+    assert sorted(found) == sorted(i for i, n in copies.items() for _ in range(n))
+
+
+def test_many_sources_are_ranked_in_order(docs):
+    rows = [(i, "w " * (i % 7 + 1), None, f"s{i:04d}") for i in range(500)]
+    targets = brute_targets({source: len(text.split()) for _, text, _, source in rows})
+    for row in mixing.plan(docs(*rows)).collect():
+        assert row["target"] == pytest.approx(targets[f"s{row['doc_id']:04d}"])
+
+
+def test_empty_tables_sources_and_repeated_rows(docs, rows_of):
+    assert mixing.plan(docs()).count() == 0 and mixing.mix(docs()).count() == 0
+    found = rows_of(mixing.plan(docs((1, None), (2, ""), (None, None))))
+    assert [row[1:] for row in found] == [(0, 0, 0.0, 0, 0)] * 3
+    twice = mixing.plan(docs((1, "a b", None, "x"), (1, "a b", None, "x"), (2, "c", None, "y"))).collect()
+    assert len(twice) == 3 and len({tuple(row) for row in twice if row["doc_id"] == 1}) == 1
+
+
+def test_the_plan_uses_no_python(docs):
+    plan = mixing.mix(docs(*corpus()))._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))

@@ -1,0 +1,81 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from quakelake.llm import toxicity
+
+
+def made(number=600, seed=1):
+    """Texts of random words; a third hold marked words and most of those have a label."""
+    draw = random.Random(seed)
+    words = ["".join(draw.choice("abcdefghijk") for _ in range(6)) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(number):
+        toxic = i % 3 == 0
+        text = [draw.choice(words) for _ in range(40)]
+        if toxic:
+            for _ in range(3):
+                text.insert(draw.randrange(40), "zwxq" + draw.choice(["o", "um", "ing"]))
+        rows.append((i, " ".join(text)))
+        if draw.random() < 0.7:
+            labels.append((i, 1, int(toxic)))
+    return rows, labels
+
+
+def test_held_out_rows_are_told_apart(spark, docs, clashing):
+    rows, labels = made()
+    labels = spark.createDataFrame(labels, "doc_id LONG, quality INT, toxic INT")
+    found = toxicity.score(clashing(docs(*rows)), labels).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= row["score"] <= 1 and row["predicted"] == int(row["score"] >= 0.5)
+    held = [row for row in found if row["held_out"]]
+    right = sum(row["predicted"] == int(row["doc_id"] % 3 == 0) for row in held)
+    assert len(held) > 50 and right >= 0.95 * len(held)
+
+
+def test_labels_of_the_held_out_fold_change_nothing(spark, docs, rows_of):
+    rows, labels = made(300)
+    schema = "doc_id LONG, quality INT, toxic INT"
+    turned = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, q, t in labels]
+    scores = [toxicity.score(docs(*rows), spark.createDataFrame(each, schema)) for each in (labels, turned)]
+    assert rows_of(scores[0]) == rows_of(scores[1])
+
+
+def test_odd_rows_and_empty_tables(spark, docs):
+    rows, labels = made(200)
+    schema = "doc_id LONG, quality INT, toxic INT"
+    odd = [(1000, None), (1001, ""), (1002, "é" * 100_000), (1003, "x"), (None, "y"), rows[0], (None, None)]
+    labels = spark.createDataFrame([*labels, (5, None, None), (None, 1, 1)], schema)
+    found = toxicity.score(docs(*rows, *odd), labels).collect()
+    assert len(found) == len(rows) + len(odd)
+    assert {row["score"] for row in found if row["doc_id"] in (1000, 1001)} == {
+        row["score"] for row in found if row["doc_id"] == 1001
+    }
+    assert not any(row["held_out"] for row in found if row["doc_id"] is None)
+    assert toxicity.score(docs(), labels).count() == 0
+    nothing = spark.createDataFrame([], schema)
+    assert {row["predicted"] for row in toxicity.score(docs(*rows), nothing).collect()} == {0}
+
+
+def test_toxic_rows_go_and_all_columns_stay(spark, docs, clashing):
+    rows, labels = made(300)
+    rows = clashing(docs(*rows))
+    kept = toxicity.drop_toxic(rows, spark.createDataFrame(labels, "doc_id LONG, quality INT, toxic INT"))
+    assert kept.columns == rows.columns
+    assert {row[0] for row in kept.collect()} == {i for i in range(300) if i % 3}
+
+
+def test_features_do_not_depend_on_the_chunks(monkeypatch):
+    text = ("Ein Text, der sich oft wiederholt. " * 40).encode()
+    whole = toxicity.features(text)
+    monkeypatch.setattr(toxicity, "_BYTES_AT_A_TIME", 7)
+    assert np.array_equal(np.sort(whole), np.sort(toxicity.features(text)))
+
+
+@pytest.mark.parametrize("text", [b"", b" ", b"a", b"abc"])
+def test_short_texts_have_few_features(text):
+    assert len(toxicity.features(text)) <= 1
