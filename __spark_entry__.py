@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -27,6 +27,7 @@ from quakelake.operators import (  # noqa: E402
     explode_features,
     explode_raw_features,
     flatten_features,
+    lost_rows,
     ordered_by_key,
     plain_silver,
     rejected_rows,
@@ -41,20 +42,21 @@ from quakelake.operators import (  # noqa: E402
     with_text_times,
 )
 from quakelake.plans import (  # noqa: E402
+    kept_rows,
     load_daily,
     load_historic,
     load_tolerant,
     merge_gold,
+    set_aside,
     with_load_time,
 )
-from quakelake.schema import FEATURE_COLLECTION  # noqa: E402
 from quakelake.session import pin_utc, shared_dir  # noqa: E402
 from quakelake.sources import (  # noqa: E402
     POSITION,
     VersionedTable,
     land_documents,
     land_payloads,
-    parse_documents,
+    read_lost,
     read_rejects,
     read_silver,
     scan_documents,
@@ -71,6 +73,7 @@ training_data = importlib.import_module("quakelake.llm.queries") if _found and _
 RUN_DATE = "2024-01-30"
 STAMP = "20240130"
 AS_OF = "2024-01-27"
+LOADED_AT = "2024-01-30 12:00:00"
 
 
 class Lake:
@@ -103,27 +106,24 @@ class Lake:
         """Folder of a feed's documents as raw multi-line files, one document per file."""
         path = f"{self.root}/raw/{feed}"
         documents = getattr(feeds, feed)(self.spark, self.sf_dir, separator="\n")
-        self._once(path, lambda: documents.write.option("maxRecordsPerFile", 1).text(path))
+        self._once(path, lambda: documents.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))
         return path
 
     def lines(self, feed: str) -> DataFrame:
         return scan_lines(self.spark, self.landed(feed), [STAMP])
 
-    def documents(self, feed: str) -> DataFrame:
-        return parse_documents(self.lines(feed))
-
     def historic(self) -> VersionedTable:
         """Gold as the historic load leaves it, beside ``silver_history``."""
         gold = self.table("gold_history")
         silver = self.table("silver_history")
-        self._once("historic", lambda: load_historic(self.documents("history"), silver, gold))
+        self._once("historic", lambda: load_historic(self.lines("history"), silver, gold))
         return gold
 
     def daily(self) -> VersionedTable:
         """Daily gold, beside ``silver_daily``."""
         gold = self.table("gold_daily")
         silver = self.table("silver_daily")
-        self._once("daily", lambda: load_daily(self.documents("daily"), silver, gold))
+        self._once("daily", lambda: load_daily(self.lines("daily"), silver, gold))
         return gold
 
     def merged(self) -> DataFrame:
@@ -155,41 +155,36 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
 def entry(spark: SparkSession) -> DataFrame:
     """Events per area, from documents to answer."""
     pin_utc(spark)
-    documents = parse_documents(feeds.history(spark, "/root/testdata/sf0.001"))
-    return analytics.count_by_area(plain_silver(documents))
+    return analytics.count_by_area(plain_silver(feeds.history(spark, "/root/testdata/sf0.001")))
+
+
+def _read(path: str, type_: str) -> Column:
+    return F.try_variant_get("feature", path, type_)
 
 
 def _bronze_multiline_scan(lake: Lake) -> DataFrame:
-    features = F.col("features")
-    documents = scan_documents(lake.spark, lake.payloads("history"))
-    return (
-        documents.select(
-            "type",
-            F.size(features).alias("n"),
-            F.array_min(features.properties.time).alias("first"),
-            F.array_max(features.properties.time).alias("last"),
-            F.aggregate(features.properties.sig, F.lit(0), lambda a, b: a + b).alias("sig"),
-        )
-        .groupBy("type")
-        .agg(
-            F.sum("n").alias("n_features"),
-            F.min("first").alias("first_time"),
-            F.max("last").alias("last_time"),
-            F.sum("sig").alias("total_sig"),
-        )
+    features = explode_features(scan_documents(lake.spark, lake.payloads("history")))
+    event_time = _read("$.properties.time", "bigint")
+    return features.groupBy(F.col("document_type").alias("type")).agg(
+        F.count("*").alias("n_features"),
+        F.min(event_time).alias("first_time"),
+        F.max(event_time).alias("last_time"),
+        F.sum(_read("$.properties.sig", "int")).alias("total_sig"),
     )
 
 
 def _bronze_text_scan(lake: Lake) -> DataFrame:
     pattern = f"{lake.landed('history')}/ingest_date={STAMP}/*"
-    features = explode_features(parse_documents(scan_text(lake.spark, pattern)))
-    return features.select(
-        "feature.id", "feature.properties.mag", "feature.properties.place", "feature.properties.time"
+    return explode_features(scan_text(lake.spark, pattern)).select(
+        _read("$.id", "string").alias("id"),
+        _read("$.properties.mag", "double").alias("mag"),
+        _read("$.properties.place", "string").alias("place"),
+        _read("$.properties.time", "bigint").alias("time"),
     )
 
 
 def _flat(lake: Lake) -> DataFrame:
-    return flatten_features(explode_features(lake.documents("history")))
+    return flatten_features(explode_features(lake.lines("history")))
 
 
 def _silver_times(lake: Lake) -> DataFrame:
@@ -213,6 +208,25 @@ def _silver_rejects(lake: Lake) -> DataFrame:
     return rejects.groupBy("reason").agg(F.count("*").alias("rejected"))
 
 
+def _silver_lost(lake: Lake) -> DataFrame:
+    lost = lost_rows(explode_raw_features(lake.lines("tolerant")))
+    return lost.groupBy("reason").agg(F.count("*").alias("features"))
+
+
+def _plain_faults(lake: Lake) -> DataFrame:
+    """Silver of the faulty feed, as the historic load stores it."""
+    silver, gold = lake.table("silver_faulty"), lake.table("gold_faulty")
+    lake._once("faulty", lambda: load_historic(lake.lines("faulty"), silver, gold))
+    return kept_rows(silver)
+
+
+def _plain_rejects(lake: Lake) -> DataFrame:
+    """What that load set aside or lost, counted."""
+    _plain_faults(lake)
+    records = set_aside(lake.table("silver_faulty"))
+    return records.groupBy("outcome", "reason").agg(F.count("*").alias("n"))
+
+
 def _times_utc_fallback(lake: Lake) -> DataFrame:
     return _tolerant(lake).select(
         "code",
@@ -263,55 +277,66 @@ def _distinct_daily_keys(lake: Lake) -> DataFrame:
 
 
 def _gold_insert_dt(lake: Lake) -> DataFrame:
-    return with_load_time(upsert(lake.historic().read(), lake.daily().read()))
+    gold = with_load_time(upsert(lake.historic().read(), lake.daily().read()), LOADED_AT)
+    return gold.withColumn("insert_dt", F.col("insert_dt").cast("timestamp_ntz"))
 
 
 def _insert_date_text(lake: Lake) -> DataFrame:
-    return with_derived(_tolerant(lake)).withColumn("insert_date", load_time_text())
+    return with_derived(_tolerant(lake)).withColumn("insert_date", load_time_text(LOADED_AT))
 
 
 def _json_round_trip(lake: Lake) -> DataFrame:
-    path = f"{lake.root}/silver_lines/{uuid.uuid4().hex}"
+    path = f"{lake.root}/silver_lines"
     rows = with_derived(_tolerant(lake))
     write_lines(rows, path)
     return lake.spark.read.schema(rows.schema).json(path)
 
 
+def _texts_hash(texts: DataFrame) -> Row:
+    """A hash of the texts in any order, each counted."""
+    ending = F.regexp_replace("value", "\\n$", "")
+    return texts.agg(F.sum(F.xxhash64(ending) % 1_000_003), F.count("*")).first()
+
+
 def _bronze_landing(lake: Lake) -> DataFrame:
-    path = f"{lake.root}/landing/{uuid.uuid4().hex}"
+    """Features of the landed texts, and whether these are the texts of the source files."""
+    path = f"{lake.root}/landing"
     land_payloads(lake.spark, lake.payloads("history"), path, RUN_DATE)
     landed = lake.spark.read.schema("value STRING, ingest_date STRING").text(path, wholetext=True)
-    collection = F.from_json("value", FEATURE_COLLECTION).features
-    return landed.groupBy("ingest_date").agg(F.sum(F.size(collection)).alias("n_features"))
+    same = _texts_hash(landed) == _texts_hash(scan_documents(lake.spark, lake.payloads("history")))
+    features = explode_features(landed).where(F.col("problem").isNull())
+    return features.agg(F.count("*").alias("n_features")).select(
+        F.lit(STAMP).alias("ingest_date"), "n_features", F.lit(same).alias("same_texts")
+    )
 
 
 def _parquet_round_trip(lake: Lake) -> DataFrame:
     lake.historic()
-    return lake.table("silver_history").read()
+    return kept_rows(lake.table("silver_history"))
 
 
 def _gold_replace(lake: Lake) -> DataFrame:
     """A table replaced by content computed from itself."""
-    table = lake.table(f"replaced/{uuid.uuid4().hex}")
+    table = lake.table("replaced")
     table.replace(lake.historic().read())
     table.replace(upsert(table.read(), lake.daily().read()))
     return table.read().drop("insert_dt")
 
 
 def _job_historic_daily_merge(lake: Lake) -> DataFrame:
-    run = f"jobs/{uuid.uuid4().hex}"
+    run = "jobs/plain"
     tables = {
         name: lake.table(f"{run}/{name}")
         for name in ("silver_history", "silver_daily", "gold", "gold_daily", "daily_keys")
     }
-    load_historic(lake.documents("history"), tables["silver_history"], tables["gold"])
-    load_daily(lake.documents("daily"), tables["silver_daily"], tables["gold_daily"])
+    load_historic(lake.lines("history"), tables["silver_history"], tables["gold"])
+    load_daily(lake.lines("daily"), tables["silver_daily"], tables["gold_daily"])
     merged = merge_gold(tables["gold"], tables["gold_daily"], tables["daily_keys"])
     return merged.drop("insert_dt")
 
 
 def _run_tolerant(lake: Lake) -> tuple[DataFrame, str]:
-    run = f"jobs/{uuid.uuid4().hex}"
+    run = "jobs/tolerant"
     silver = f"{lake.root}/{run}/silver"
     return load_tolerant(lake.lines("tolerant"), silver, lake.table(f"{run}/gold")), silver
 
@@ -324,10 +349,15 @@ def _job_tolerant_outcomes(lake: Lake) -> DataFrame:
     silver = _run_tolerant(lake)[1]
     kept = read_silver(lake.spark, silver).select(F.lit("kept").alias("outcome"))
     rejected = read_rejects(lake.spark, silver).select(F.col("reason").alias("outcome"))
-    return kept.unionByName(rejected).groupBy("outcome").agg(F.count("*").alias("features"))
+    lost = read_lost(lake.spark, silver).select(F.col("reason").alias("outcome"))
+    return kept.unionByName(rejected).unionByName(lost).groupBy("outcome").agg(F.count("*").alias("features"))
 
 
-_QUERIES: dict[str, tuple[Callable[[Lake], DataFrame], str | None]] = {
+_LOST_COUNTS = """SELECT CASE WHEN k % 73 <> 0 THEN 'lost nst' WHEN k % 79 <> 0 THEN 'lost sig'
+       ELSE 'lost sig, nst' END AS reason, count(*) AS features
+FROM checked WHERE reason IS NULL AND (k % 73 = 0 OR k % 79 = 0) GROUP BY 1"""
+
+_QUERIES: dict[str, tuple[Callable[[Lake], DataFrame], str]] = {
     "q_bronze_multiline_scan": (
         _bronze_multiline_scan,
         """SELECT 'FeatureCollection' AS type, count(*) AS n_features, min(ms) AS first_time,
@@ -347,6 +377,9 @@ _QUERIES: dict[str, tuple[Callable[[Lake], DataFrame], str | None]] = {
         _silver_rejects,
         "SELECT reason, count(*) AS rejected FROM checked WHERE reason IS NOT NULL GROUP BY reason",
     ),
+    "q_silver_lost": (_silver_lost, _LOST_COUNTS),
+    "q_plain_faults": (_plain_faults, "SELECT * FROM faulty_silver"),
+    "q_plain_rejects": (_plain_rejects, "SELECT * FROM faulty_records"),
     "q_times_utc_fallback": (
         _times_utc_fallback,
         "SELECT code, time, updated FROM tolerant_silver",
@@ -381,8 +414,14 @@ _QUERIES: dict[str, tuple[Callable[[Lake], DataFrame], str | None]] = {
         _distinct_daily_keys,
         "SELECT DISTINCT ids FROM daily_silver WHERE ids IS NOT NULL",
     ),
-    "q_gold_insert_dt": (_gold_insert_dt, None),
-    "q_insert_date_text": (_insert_date_text, None),
+    "q_gold_insert_dt": (
+        _gold_insert_dt,
+        f"SELECT *, TIMESTAMP '{LOADED_AT}' AS insert_dt FROM gold",
+    ),
+    "q_insert_date_text": (
+        _insert_date_text,
+        f"SELECT *, '{LOADED_AT}' AS insert_date FROM tolerant_silver",
+    ),
     "q_count_by_area": (
         lambda lake: analytics.count_by_area(lake.merged()),
         "SELECT area, count(*) AS no_earthquakes FROM gold GROUP BY area",
@@ -424,7 +463,7 @@ _QUERIES: dict[str, tuple[Callable[[Lake], DataFrame], str | None]] = {
     "q_json_round_trip": (_json_round_trip, "SELECT * FROM tolerant_silver"),
     "q_bronze_landing": (
         _bronze_landing,
-        f"SELECT '{STAMP}' AS ingest_date, count(*) AS n_features FROM history_features",
+        f"SELECT '{STAMP}' AS ingest_date, count(*) AS n_features, TRUE AS same_texts FROM history_features",
     ),
     "q_parquet_round_trip": (_parquet_round_trip, "SELECT * FROM history_silver"),
     "q_gold_replace": (_gold_replace, "SELECT * FROM gold"),
@@ -432,8 +471,8 @@ _QUERIES: dict[str, tuple[Callable[[Lake], DataFrame], str | None]] = {
     "q_job_tolerant": (_job_tolerant, "SELECT * FROM tolerant_silver"),
     "q_job_tolerant_outcomes": (
         _job_tolerant_outcomes,
-        """SELECT coalesce(reason, 'kept') AS outcome, count(*) AS features
-           FROM checked GROUP BY 1""",
+        f"""SELECT coalesce(reason, 'kept') AS outcome, count(*) AS features FROM checked GROUP BY 1
+            UNION ALL SELECT * FROM ({_LOST_COUNTS})""",
     ),
 }
 
@@ -449,10 +488,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results in SQL. The two load-time queries have none: they show the wall clock."""
+    """The same results in SQL."""
     found = {
         name: sql if sql.startswith("WITH") else oracle.query(sql)
         for name, (_, sql) in _QUERIES.items()
-        if sql is not None
     }
     return found | (training_data.oracle_sql() if training_data else {})

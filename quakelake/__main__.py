@@ -13,12 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quakelake.operators import analytics
 from quakelake.plans import load_daily, load_historic, load_tolerant, merge_gold
-from quakelake.session import build_session
+from quakelake.session import build_session, pin_utc
 from quakelake.sources import (
     VersionedTable,
     land_documents,
     land_payloads,
-    parse_documents,
     scan_documents,
     scan_lines,
 )
@@ -43,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("feed")
     land.add_argument("source", help="files, a folder or a glob; one document per file")
     land.add_argument("--day", help="run date, today by default")
+    land.add_argument("--lines", action="store_true", help="the files hold one document per line")
     land.add_argument("--unchanged", action="store_true", help="keep the files' layout")
     for name in ("historic", "daily", "tolerant"):
         load = commands.add_parser(name, help=f"run the {name} load")
@@ -65,7 +65,7 @@ def _documents(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.multi_line:
         dates = args.ingest_date or ["*"]
         return scan_documents(spark, *[f"{bronze}/ingest_date={date}" for date in dates])
-    return parse_documents(scan_lines(spark, bronze, args.ingest_date))
+    return scan_lines(spark, bronze, args.ingest_date)
 
 
 def _answer(args: argparse.Namespace, gold: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def _answer(args: argparse.Namespace, gold: DataFrame) -> DataFrame:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = spark or build_session()
+    spark = pin_utc(spark or build_session())
 
     def table(name: str) -> VersionedTable:
         return VersionedTable(spark, f"{args.lake}/{name}")
@@ -89,7 +89,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         if args.unchanged:
             land_payloads(spark, args.source, path, args.day)
         else:
-            land_documents(spark.read.text(args.source, wholetext=True), path, args.day)
+            land_documents(spark.read.text(args.source, wholetext=not args.lines), path, args.day)
     elif args.command == "historic":
         load_historic(_documents(spark, args), table("silver_historic"), table("gold"))
     elif args.command == "daily":

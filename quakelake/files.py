@@ -16,7 +16,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a folder, from the file system's own summary: no listing passes through here."""
+    """Size of a folder by the file system's summary; an object store lists the folder for it."""
     file_system, hadoop_path = _resolve(spark, path)
     if not file_system.exists(hadoop_path):
         return 0
@@ -26,3 +26,30 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 def delete_folder(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _resolve(spark, path)
     file_system.delete(hadoop_path, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it is not there. For folders known to hold little."""
+    file_system, hadoop_path = _resolve(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in file_system.listStatus(hadoop_path))
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file; fails if it is there already."""
+    file_system, hadoop_path = _resolve(spark, path)
+    out = file_system.create(hadoop_path, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    file_system, hadoop_path = _resolve(spark, path)
+    stream = file_system.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

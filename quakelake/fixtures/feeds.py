@@ -1,7 +1,8 @@
 """GeoJSON feeds made from whole test tables.
 
 ``history`` is every row of ``events``, ``daily`` every row of ``orders``, ``tolerant`` every row
-of ``events`` again with broken features among them. Keys are numbered by twos in history and by
+of ``events`` again with broken features among them, and ``faulty`` once more for the plain loads,
+with values of drifting type and documents that cannot be read. Keys are numbered by twos in history and by
 threes in daily, so the feeds overlap on part of their keys at any scale; both have copies and
 null keys. Magnitudes are binary fractions, so their sums are exact in any order.
 ``quakelake.fixtures.oracle`` states the same rows in SQL, without the JSON step.
@@ -190,6 +191,12 @@ def _with_faults(base: DataFrame) -> DataFrame:
         .when(_every(61), _json_null())
         .otherwise(properties["status"]),
         "tsunami": F.when(_every(53), _json_null()).otherwise(properties["tsunami"]),
+        "sig": F.when(_every(73), _written(plain["sig"] + F.lit(0.5)))
+        .when(_every(43, 1), _written(plain["sig"] + F.lit(5_000_000_000)))
+        .otherwise(properties["sig"]),
+        "nst": F.when(_every(79), _written(F.lit("abc")))
+        .when(_every(47), _written(plain["nst"].cast("double")))
+        .otherwise(properties["nst"]),
         "title": F.when(_every(67), _missing()).otherwise(properties["title"]),
     }
     text = _feature_text(
@@ -200,7 +207,34 @@ def _with_faults(base: DataFrame) -> DataFrame:
     return base.select("document", text.alias("feature"))
 
 
-def _documents(features: DataFrame, separator: str) -> DataFrame:
+def _stray(base: DataFrame) -> DataFrame:
+    """Values of drifting type, elements that are no feature, and repeated keys."""
+    plain = _properties()
+    properties = {name: _written(column) for name, column in plain.items()}
+    properties |= {
+        "mag": F.when(_every(97), _written(F.lit("abc")))
+        .when(_every(23), _written(plain["mag"].cast("string")))
+        .otherwise(properties["mag"]),
+        "felt": F.when(_every(7), _written(plain["felt"].cast("double"))).otherwise(properties["felt"]),
+        "sig": F.when(_every(73), _written(plain["sig"] + F.lit(0.5))).otherwise(properties["sig"]),
+    }
+    whole = [_written(F.get(_coordinates(F.col("short")), F.lit(i))) for i in range(3)]
+    latitude = F.when(_every(89), _written(F.lit("abc"))).otherwise(whole[1])
+    coordinates = F.when(F.col("short"), F.array(whole[0], latitude)).otherwise(F.array(whole[0], latitude, whole[2]))
+    text = _feature_text(_event_id(), _properties_struct(properties), coordinates)
+    repeated = F.regexp_replace(text, '"mag":', '"mag":-1,"mag":')
+    inside = F.to_json(F.struct(text.alias("x")))
+    return base.select(
+        "document",
+        F.when(_every(101), F.lit("7"))
+        .when(_every(103), F.regexp_extract(inside, r'^\{"x":(.*)\}$', 1))
+        .when(_every(31), repeated)
+        .otherwise(text)
+        .alias("feature"),
+    )
+
+
+def _documents(features: DataFrame, separator: str, *also: str) -> DataFrame:
     """Feature texts to FeatureCollection texts, one per document number."""
     return (
         features.groupBy("document")
@@ -210,7 +244,8 @@ def _documents(features: DataFrame, separator: str) -> DataFrame:
                 F.lit(f'{{"type": "FeatureCollection",{separator}"features": [{separator}'),
                 F.array_join("features", f",{separator}"),
                 F.lit(f"{separator}]}}"),
-            ).alias("value")
+            ).alias("value"),
+            *also,
         )
     )
 
@@ -230,3 +265,19 @@ def daily(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
 
 def tolerant(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
     return _documents(_with_faults(_by_document(_history_base(spark, sf_dir))), separator)
+
+
+def faulty(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
+    """History with drifting values; of five documents one is cut off, one has text after it, and
+    one text holds two documents."""
+    base = _history_base(spark, sf_dir)
+    number = F.floor(F.col("k") / FEATURES_PER_DOCUMENT)
+    documents = _documents(_stray(_by_document(base.withColumn("document", number))), separator, "document")
+    text, kind = F.col("value"), F.col("document") % 5
+    return documents.select(
+        F.when(kind == 1, F.substring(text, F.lit(1), F.length(text) - 3))
+        .when(kind == 2, F.concat(text, F.lit(" end")))
+        .when(kind == 3, F.concat(text, F.lit(" "), text))
+        .otherwise(text)
+        .alias("value")
+    )

@@ -132,8 +132,10 @@ _TOLERANT = """tolerant AS (
               ELSE CAST(ms AS VARCHAR) END AS time,
          CAST(updated_ms AS VARCHAR) AS updated,
          url, detail, coalesce(CAST(felt AS DOUBLE), 0.0) AS felt, coalesce(cdi, 0.0) AS cdi, mmi,
-         alert, CASE WHEN k % 61 <> 0 THEN status END AS status, tsunami, sig, net, code, ids,
-         sources, types, nst, coalesce(dmin, 0.0) AS dmin, rms, coalesce(gap, 0.0) AS gap, magType,
+         alert, CASE WHEN k % 61 <> 0 THEN status END AS status, tsunami,
+         CASE WHEN k % 73 = 0 THEN NULL WHEN k % 43 = 1 THEN CAST(sig AS BIGINT) + 5000000000
+              ELSE CAST(sig AS BIGINT) END AS sig, net, code, ids,
+         sources, types, CASE WHEN k % 79 <> 0 THEN nst END AS nst, coalesce(dmin, 0.0) AS dmin, rms, coalesce(gap, 0.0) AS gap, magType,
          type, title, tz, longitude, latitude, coalesce(depth, 0.0) AS depth
   FROM checked WHERE reason IS NULL
 ), tolerant_silver AS (
@@ -148,6 +150,30 @@ _TOLERANT = """tolerant AS (
     area=LOOSE_AREA,
 )
 
+# The faulty feed: what of it is kept, and what is recorded.
+_FAULTY = """faulty_read AS (
+  SELECT *, k // 200 AS document, k % 101 = 0 OR k % 103 = 0 AS stray,
+         nullif(concat_ws(', ', CASE WHEN k % 97 = 0 THEN 'magnitude' END,
+                                CASE WHEN k % 73 = 0 THEN 'sig' END,
+                                CASE WHEN k % 89 = 0 THEN 'geometry_latitude' END), '') AS lost
+  FROM history_features
+), faulty_kept AS (
+  SELECT * REPLACE (CASE WHEN k % 97 <> 0 THEN mag END AS mag,
+                    CASE WHEN k % 73 <> 0 THEN sig END AS sig,
+                    CASE WHEN k % 89 <> 0 THEN latitude END AS latitude)
+  FROM faulty_read WHERE document % 5 IN (0, 4) AND NOT stray
+), faulty_silver AS (
+  SELECT {flat}, {area} AS area FROM faulty_kept
+), faulty_records AS (
+  SELECT 'rejected' AS outcome, 'unreadable document' AS reason, count(DISTINCT document) AS n
+  FROM faulty_read WHERE document % 5 IN (1, 2, 3) HAVING count(*) > 0
+  UNION ALL
+  SELECT 'rejected', 'feature is not an object', count(*)
+  FROM faulty_read WHERE document % 5 IN (0, 4) AND stray HAVING count(*) > 0
+  UNION ALL
+  SELECT 'lost', 'lost ' || lost, count(*) FROM faulty_kept WHERE lost IS NOT NULL GROUP BY lost
+)""".format(flat=_FLAT.format(time=_text_time("ms"), updated=_text_time("updated_ms")), area=STRICT_AREA)
+
 _STEPS = [
     _NATIONS,
     _HISTORY_BASE,
@@ -159,6 +185,7 @@ _STEPS = [
     _GOLD,
     _CHECKED,
     _TOLERANT,
+    _FAULTY,
 ]
 
 

@@ -29,12 +29,13 @@ def millis_to_text_or_raw(value: Column) -> Column:
     return F.coalesce(text, value.cast("string"))
 
 
-def load_time() -> Column:
-    return F.current_timestamp()
+def load_time(at: str | None = None) -> Column:
+    """The time of the load: now, or the instant that a rerun names."""
+    return F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
 
 
-def load_time_text() -> Column:
-    return F.date_format(F.current_timestamp(), TIME_FORMAT)
+def load_time_text(at: str | None = None) -> Column:
+    return F.date_format(load_time(at), TIME_FORMAT)
 
 
 def as_date(day: dt.date | str | None) -> Column:

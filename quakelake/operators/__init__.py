@@ -2,6 +2,8 @@ from quakelake.operators import analytics
 from quakelake.operators.checked import (
     checked_rows,
     explode_raw_features,
+    lost_rows,
+    outcomes,
     rejected_rows,
     strict_rows,
     tolerant_rows,
@@ -10,12 +12,14 @@ from quakelake.operators.checked import (
 from quakelake.operators.flatten import (
     explode_features,
     flatten_features,
+    plain_outcomes,
     plain_silver,
     with_area,
     with_text_times,
 )
 from quakelake.operators.merge import (
     distinct_keys,
+    matched_keys,
     ordered_by_key,
     rows_also_in,
     rows_only_in,
@@ -30,7 +34,11 @@ __all__ = [
     "explode_features",
     "explode_raw_features",
     "flatten_features",
+    "lost_rows",
+    "matched_keys",
     "ordered_by_key",
+    "outcomes",
+    "plain_outcomes",
     "plain_silver",
     "rejected_rows",
     "rows_also_in",

@@ -48,11 +48,12 @@ def half_count_by_day_area(gold: DataFrame) -> DataFrame:
 def top_area_of_week(gold: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     """Area of the strongest event since seven days before ``as_of`` (today by default).
 
-    The time text sorts like the time, so the bound is compared as text and reaches the scan.
-    Ties go to the first key, then area; an unknown magnitude is the weakest.
+    The time text sorts like the time, so the bound is compared as text and reaches the scan. Years
+    beyond 9999 start with a plus sign, which sorts before all digits, and so does the minus sign
+    of years before 0: the former are later than any bound. Ties go to the first key, then area; an unknown magnitude is the weakest.
     """
     return (
-        gold.filter(F.col("time") >= week_before(as_of))
+        gold.filter((F.col("time") >= week_before(as_of)) | F.col("time").startswith("+"))
         .orderBy(F.desc_nulls_last("magnitude"), "ids", "area")
         .select("area")
         .limit(1)

@@ -7,45 +7,42 @@ from pyspark.sql import functions as F
 
 from quakelake.functions.places import loose_area
 from quakelake.functions.times import millis_to_text_or_raw
-from quakelake.schema import CORRUPT, FIELDS, RAW_COLLECTION, REJECTS, TOLERANT_FIRST, Rule
+from quakelake.schema import DOCUMENT, FIELDS, REJECTS, TOLERANT_FIRST, Rule
 
 _FEATURE = "feature"
+OUTCOME = "outcome"
+KEPT = "kept"
+REJECTED = "rejected"
+LOST = "lost"
 
 
 def explode_raw_features(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Document lines to one row per feature: the ``feature`` as variant, ``raw`` and ``problem``.
+    """Document texts to one row per feature: ``feature`` as variant, ``document_type``, ``raw`` and ``problem``.
 
-    A document is parsed once, as one variant. Where that gives no feature array (the document is
-    broken, repeats a key, or is too large for one variant), its features are cut out as text and
-    parsed one by one; only then is ``raw`` set. A document that cannot be read either way gives
-    one row with its whole text and the problem.
+    Every document is parsed once, by one path, whatever its size: read as the only element of an
+    array, so that text before or after it makes it unreadable. Of a repeated key the last value
+    counts. A document that cannot be read, or has no array of features, gives one row with its
+    whole text as ``raw`` and the problem.
     """
-    whole = lines.select(
-        F.col(value).alias("text"),
-        F.try_variant_get(F.try_parse_json(F.col(value)), "$.features", "ARRAY<VARIANT>").alias("whole"),
-    )
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    cut = F.when(F.col("whole").isNull(), F.from_json("text", RAW_COLLECTION, options))
-    documents = whole.select("text", "whole", cut.alias("cut"))
+    read = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), f"ARRAY<{DOCUMENT}>")
+    documents = lines.select(F.col(value).alias("text"), read.alias("read"))
+    document = F.get("read", F.lit(0))
 
-    def row(raw: Column | None = None, feature: Column | None = None, problem: str | None = None) -> Column:
+    def row(feature: Column | None = None, problem: str | None = None) -> Column:
         nothing = F.lit(None)
         return F.struct(
-            (nothing if raw is None else raw).cast("string").alias("raw"),
+            (nothing if feature is None else document["type"]).cast("string").alias("document_type"),
+            (nothing if problem is None else F.col("text")).cast("string").alias("raw"),
             (nothing if feature is None else feature).cast("variant").alias(_FEATURE),
             F.lit(problem).cast("string").alias("problem"),
         )
 
-    unreadable = F.col("cut").isNull() | F.col(f"cut.{CORRUPT}").isNotNull()
+    readable = F.coalesce(F.size("read") == 1, F.lit(False))
     # Parsing below or inside the generator keeps later filters from repeating the parse.
     rows = (
-        F.when(
-            F.col("whole").isNotNull(), F.transform("whole", lambda feature: row(feature=feature))
-        )
-        .when(unreadable, F.array(row(raw=F.col("text"), problem="unreadable document")))
-        .otherwise(
-            F.transform("cut.features", lambda text: row(raw=text, feature=F.try_parse_json(text)))
-        )
+        F.when(~readable, F.array(row(problem="unreadable document")))
+        .when(document["features"].isNull(), F.array(row(problem="no feature array")))
+        .otherwise(F.transform(document["features"], lambda feature: row(feature=feature)))
     )
     return documents.select(F.inline(rows))
 
@@ -71,7 +68,7 @@ def _complaint(name: str, path: str, rule: Rule) -> Column:
     node = _node(path)
     why = F.when(node.isNull(), F.lit(f"missing {name}" if rule.need != "optional" else None))
     why = why.when(F.is_variant_null(node), F.lit(f"null {name}" if rule.need == "value" else None))
-    return F.when(F.col(name).isNull(), why.otherwise(F.lit(f"bad {name}")))
+    return F.when(F.col(name).isNull(), why.otherwise(F.lit(None if rule.kept else f"bad {name}")))
 
 
 def _not_object(path: str, required: str, message: str) -> Column:
@@ -80,34 +77,67 @@ def _not_object(path: str, required: str, message: str) -> Column:
     return F.when(F.col(required).isNull() & ~is_object, message)
 
 
-def _typed(features: DataFrame, rules: list[tuple[str, str, Rule]]) -> DataFrame:
+# What integers of each type hold; doubles between these bounds turn into them unharmed.
+_WHOLE = {"int": (-(2.0**31), 2.0**31 - 1), "bigint": (-(2.0**63), 2.0**63 - 1024)}
+
+
+def _read_type(rule: Rule) -> str:
+    return "double" if rule.type in _WHOLE and not rule.cut else rule.type
+
+
+def _fitted(value: Column, rule: Rule) -> Column:
+    """A value as read in its rule's type; a number with a fraction is no integer."""
+    if rule.type not in _WHOLE or rule.cut:
+        return value
+    whole = value.between(*map(F.lit, _WHOLE[rule.type])) & (value == F.floor(value))
+    return F.when(whole, value.cast(rule.type))
+
+
+def typed_fields(features: DataFrame, rules: list[tuple[str, str, Rule]]) -> DataFrame:
     """Every field in its type, null where it is missing, null or of another kind.
 
     The properties are read as one struct, in one walk over the object instead of one search per
-    field; a value that does not fit leaves only its own field null.
+    field; a value that does not fit leaves only its own field null. Numeric text and whole
+    decimals fit.
     """
-    inside = {name: rule.type for name, path, rule in rules if path.startswith("$.properties.")}
-    struct = ", ".join(f"`{name}`: {type_}" for name, type_ in inside.items())
+    start = "$.properties."
+    inside = {path.removeprefix(start): rule for _, path, rule in rules if path.startswith(start)}
+    struct = ", ".join(f"`{key}`: {_read_type(rule)}" for key, rule in inside.items())
+    others = {path: F.try_variant_get(_FEATURE, path, _read_type(rule)) for _, path, rule in rules if not path.startswith(start)}
+    # Read first and converted above, so that no value is read more than once.
     parsed = features.select(
         _FEATURE,
         "raw",
         "problem",
         F.try_variant_get(_FEATURE, "$.properties", f"STRUCT<{struct}>").alias("properties"),
+        *(value.alias(f"other{i}") for i, value in enumerate(others.values())),
     )
+    place = {path: F.col(f"other{i}") for i, path in enumerate(others)}
     fields = [
-        F.col(f"properties.{name}")
-        if name in inside
-        else F.try_variant_get(_FEATURE, path, rule.type).alias(name)
+        _fitted(place[path] if path in place else F.col("properties")[path.removeprefix(start)], rule).alias(name)
         for name, path, rule in rules
     ]
     return parsed.select(*fields, _FEATURE, "raw", "problem")
 
 
+def lost_fields(rules: list[tuple[str, str, Rule]]) -> Column:
+    """Names of fields that are kept as null though a value is there, or null."""
+    kept = [(name, path) for name, path, rule in rules if rule.kept and rule.type != "string"]
+
+    def lost(name: str, path: str) -> Column:
+        node = _node(path)
+        return F.when(F.col(name).isNull() & node.isNotNull() & ~F.is_variant_null(node), F.lit(name))
+
+    names = F.concat_ws(", ", *(lost(*field) for field in kept))
+    return F.when(names != "", F.concat(F.lit("lost "), names))
+
+
 def _checked(features: DataFrame, mode: str) -> DataFrame:
-    """All thirty fields, ``reason`` (the first broken rule in field order) and ``raw`` of a reject."""
+    """All thirty fields, ``reason`` (the first broken rule in field order), ``lost``, and ``raw``
+    of features with either."""
     rules = [(f.name, f.path, getattr(f, mode)) for f in FIELDS]
-    typed = _typed(features, rules)
-    checks = [r for r in rules if r[2].need != "optional" or r[2].type != "string"]
+    typed = typed_fields(features, rules)
+    checks = [r for r in rules if r[2].need != "optional" or (r[2].type != "string" and not r[2].kept)]
     reason = F.coalesce(
         F.col("problem"),
         _not_object("$", "id", "feature is not an object"),
@@ -115,11 +145,40 @@ def _checked(features: DataFrame, mode: str) -> DataFrame:
         *[_complaint(*r) for r in checks],
     )
     filled = [_filled(*r).alias(r[0]) for r in rules]
-    checked = typed.select(*filled, _FEATURE, "raw", reason.alias("reason"))
+    lost = lost_fields(rules) if mode == "tolerant" else F.lit(None).cast("string")
+    checked = typed.select(*filled, _FEATURE, "raw", reason.alias("reason"), lost.alias("lost"))
+    return with_raw(checked, [f.name for f in FIELDS])
+
+
+def with_raw(checked: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns, ``raw`` of features that are set aside or lose a value, ``reason`` and ``lost``."""
     raw = F.coalesce("raw", F.to_json(_FEATURE), F.lit("null"))
-    return checked.select(
-        *[f.name for f in FIELDS], F.when(F.col("reason").isNotNull(), raw).alias("raw"), "reason"
+    recorded = F.col("reason").isNotNull() | F.col("lost").isNotNull()
+    return checked.select(*columns, F.when(recorded, raw).alias("raw"), "reason", "lost")
+
+
+def outcomes(checked: DataFrame) -> DataFrame:
+    """Each feature as a kept or a rejected row, and a lost row beside a kept one that lost values.
+
+    ``outcome`` tells which; ``raw`` and ``reason`` are set in rejected and lost rows, the other
+    columns in kept rows.
+    """
+    columns = [name for name in checked.columns if name not in (*REJECTS.names, "lost")]
+    empty = [F.lit(None).cast(checked.schema[name].dataType).alias(name) for name in columns]
+
+    def row(outcome: str, values: list, reason: Column) -> Column:
+        record = F.lit(None).cast("string") if outcome == KEPT else F.col("raw")
+        return F.struct(
+            *values, record.alias("raw"), reason.cast("string").alias("reason"), F.lit(outcome).alias(OUTCOME)
+        )
+
+    kept, lost = row(KEPT, columns, F.lit(None)), row(LOST, empty, F.col("lost"))
+    rows = (
+        F.when(F.col("reason").isNotNull(), F.array(row(REJECTED, empty, F.col("reason"))))
+        .when(F.col("lost").isNotNull(), F.array(kept, lost))
+        .otherwise(F.array(kept))
     )
+    return checked.select(F.inline(rows))
 
 
 def _rows_where(checked: DataFrame, condition: Column, columns: list[str]) -> DataFrame:
@@ -130,13 +189,17 @@ def _rows_where(checked: DataFrame, condition: Column, columns: list[str]) -> Da
 
 def strict_rows(features: DataFrame) -> DataFrame:
     """The thirty typed fields; the job fails on the first feature that breaks a rule."""
-    failure = F.raise_error(F.concat_ws(": ", "reason", "raw")).cast("boolean")
+    failure = F.raise_error(F.concat_ws(": ", "id", "reason")).cast("boolean")
     passes = F.when(F.col("reason").isNull(), True).otherwise(failure)
     return _rows_where(_checked(features, "strict"), passes, [f.name for f in FIELDS])
 
 
 def checked_rows(features: DataFrame) -> DataFrame:
-    """Every feature with its thirty tolerant fields; a reject also has its ``raw`` text and ``reason``."""
+    """Every feature with its thirty tolerant fields.
+
+    A reject also has its ``raw`` text and ``reason``; a feature kept without some value that does
+    not fit has ``raw`` and ``lost``.
+    """
     return _checked(features, "tolerant")
 
 
@@ -151,6 +214,13 @@ def rejected_rows(features: DataFrame) -> DataFrame:
     return _rows_where(checked_rows(features), F.col("reason").isNotNull(), REJECTS.names)
 
 
+def lost_rows(features: DataFrame) -> DataFrame:
+    """What ``tolerant_rows`` keeps as null: the feature's text and, as ``reason``, the fields."""
+    found = F.col("reason").isNull() & F.col("lost").isNotNull()
+    lost = _rows_where(checked_rows(features), found, ["raw", "lost"])
+    return lost.withColumnRenamed("lost", "reason")
+
+
 def with_derived(rows: DataFrame) -> DataFrame:
     """Text times and the loose area first, then every other column unchanged."""
     derived = [

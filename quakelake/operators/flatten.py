@@ -7,22 +7,35 @@ from pyspark.sql import functions as F
 
 from quakelake.functions.places import strict_area
 from quakelake.functions.times import millis_to_text
-from quakelake.schema import PLAIN_COLUMNS, PLAIN_COORDINATES
+from quakelake.operators.checked import explode_raw_features, lost_fields, outcomes, typed_fields, with_raw
+from quakelake.schema import PLAIN_FIELDS
 
+_NAMES = [name for name, _, _ in PLAIN_FIELDS]
 
-def explode_features(documents: DataFrame) -> DataFrame:
-    """One row per feature; a document without features gives none."""
-    return documents.select(F.explode("features").alias("feature"))
+
+def explode_features(lines: DataFrame) -> DataFrame:
+    """One row per feature of documents that can be read; see ``explode_raw_features``."""
+    return explode_raw_features(lines)
+
+
+def flattened(features: DataFrame) -> DataFrame:
+    """Every feature with the thirty flat columns, ``raw``, ``reason`` and ``lost``.
+
+    Only what is no feature at all has a ``reason``: an element that is no object, a document that
+    cannot be read. A coordinate or key that is not there reads as null; a value that does not fit
+    its column does so too, and is named in ``lost``.
+    """
+    rules = list(PLAIN_FIELDS)
+    typed = typed_fields(features, rules)
+    is_object = F.coalesce(F.schema_of_variant("feature").startswith("OBJECT"), F.lit(False))
+    reason = F.coalesce(F.col("problem"), F.when(~is_object, F.lit("feature is not an object")))
+    checked = typed.select(*_NAMES, "feature", "raw", reason.alias("reason"), lost_fields(rules).alias("lost"))
+    return with_raw(checked, _NAMES)
 
 
 def flatten_features(features: DataFrame) -> DataFrame:
-    """The thirty flat columns. A coordinate that is not there reads as null."""
-    properties = [F.col(f"feature.properties.{source}").alias(name) for source, name in PLAIN_COLUMNS.items()]
-    coordinates = [
-        F.get("feature.geometry.coordinates", F.lit(position)).alias(name)
-        for position, name in enumerate(PLAIN_COORDINATES)
-    ]
-    return features.select(F.col("feature.type").alias("feature_type"), *properties, *coordinates)
+    """The thirty flat columns of all that is a feature."""
+    return flattened(features).where(F.col("reason").isNull()).select(*_NAMES)
 
 
 def with_text_times(flat: DataFrame) -> DataFrame:
@@ -34,6 +47,12 @@ def with_area(flat: DataFrame) -> DataFrame:
     return flat.withColumn("area", strict_area(F.col("place")).cast("string"))
 
 
-def plain_silver(documents: DataFrame) -> DataFrame:
-    """Documents to silver: 31 columns."""
-    return with_area(with_text_times(flatten_features(explode_features(documents))))
+def plain_silver(lines: DataFrame) -> DataFrame:
+    """Document texts to silver: 31 columns."""
+    return with_area(with_text_times(flatten_features(explode_features(lines))))
+
+
+def plain_outcomes(lines: DataFrame) -> DataFrame:
+    """Silver rows with ``outcome`` kept, and beside them what was rejected or lost, in one pass."""
+    rows = with_area(with_text_times(flattened(explode_features(lines))))
+    return outcomes(rows.select(*_NAMES, "area", "raw", "reason", "lost"))

@@ -29,6 +29,18 @@ def _join_keys(rows: DataFrame) -> DataFrame:
     return distinct_keys(rows).select(F.concat(KEY, F.lit("")).alias(KEY))
 
 
+def _shared_keys(gold: DataFrame, daily: DataFrame) -> DataFrame:
+    """Keys that both sides have, for a join that shuffles them itself; see ``_join_keys``."""
+    tagged = gold.select(KEY, F.lit(1).alias("side")).unionByName(daily.select(KEY, F.lit(2).alias("side")))
+    sides = tagged.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.bit_or("side").alias("sides"))
+    return sides.where("sides = 3").select(F.concat(KEY, F.lit("")).alias(KEY))
+
+
+def matched_keys(gold: DataFrame, daily_keys: DataFrame) -> DataFrame:
+    """The distinct keys of daily that gold has: only they remove gold rows. One column is read."""
+    return gold.select(KEY).join(daily_keys, [KEY], "left_semi").distinct()
+
+
 def rows_only_in(rows: DataFrame, others: DataFrame) -> DataFrame:
     """Left anti: rows whose key ``others`` lacks."""
     return rows.join(_join_keys(others), [KEY], "left_anti")
@@ -40,8 +52,12 @@ def rows_also_in(rows: DataFrame, others: DataFrame) -> DataFrame:
 
 
 def unmatched_rows(gold: DataFrame, daily: DataFrame) -> DataFrame:
-    """Rows of either side whose key the other lacks, copies included."""
-    return rows_only_in(gold, daily).unionByName(rows_only_in(daily, gold))
+    """Rows of either side whose key the other lacks, copies included.
+
+    One aggregate finds the keys that both sides have; each side is then joined once with those.
+    """
+    shared = _shared_keys(gold, daily)
+    return gold.join(shared, [KEY], "left_anti").unionByName(daily.join(shared, [KEY], "left_anti"))
 
 
 def upsert(gold: DataFrame, daily: DataFrame, daily_keys: DataFrame | None = None) -> DataFrame:

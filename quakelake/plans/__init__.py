@@ -1,3 +1,19 @@
-from quakelake.plans.jobs import load_daily, load_historic, load_tolerant, merge_gold, with_load_time
+from quakelake.plans.jobs import (
+    kept_rows,
+    load_daily,
+    load_historic,
+    load_tolerant,
+    merge_gold,
+    set_aside,
+    with_load_time,
+)
 
-__all__ = ["load_daily", "load_historic", "load_tolerant", "merge_gold", "with_load_time"]
+__all__ = [
+    "kept_rows",
+    "load_daily",
+    "load_historic",
+    "load_tolerant",
+    "merge_gold",
+    "set_aside",
+    "with_load_time",
+]

@@ -7,45 +7,71 @@ from pyspark.sql import functions as F
 
 from quakelake.files import stored_bytes
 from quakelake.functions.times import load_time, load_time_text
-from quakelake.operators.checked import checked_rows, explode_raw_features, with_derived
-from quakelake.operators.flatten import plain_silver
-from quakelake.operators.merge import distinct_keys, ordered_by_key, upsert
+from quakelake.operators.checked import (
+    KEPT,
+    OUTCOME,
+    checked_rows,
+    explode_raw_features,
+    outcomes,
+    with_derived,
+)
+from quakelake.operators.flatten import plain_outcomes
+from quakelake.operators.merge import distinct_keys, matched_keys, ordered_by_key, upsert
+from quakelake.schema import REJECTS
 from quakelake.session import MIB, sized_shuffles
-from quakelake.sources.silver_lines import read_silver, write_outcomes
+from quakelake.sources.silver_lines import outcome_lines, read_silver, silver_lines
 from quakelake.sources.tables import POSITION, EmptyBatchError, VersionedTable, with_position
 
 # Gold questions about recent days skip row groups by the event time.
 GOLD_CLUSTER = ("time",)
 LOAD_TIME = "insert_dt"
 # Keys within both bounds go to every executor: some hundred MB there, against a shuffle of gold.
+# The bytes are those of the stored, compressed keys.
 BROADCAST_KEYS = 4_000_000
 BROADCAST_BYTES = 64 * MIB
 
 
-def with_load_time(rows: DataFrame) -> DataFrame:
-    """The load timestamp, replacing an earlier one."""
-    return rows.withColumn(LOAD_TIME, load_time())
+def with_load_time(rows: DataFrame, at: str | None = None) -> DataFrame:
+    """The load timestamp, replacing an earlier one; now, unless a rerun names its instant."""
+    return rows.withColumn(LOAD_TIME, load_time(at))
 
 
-def load_historic(documents: DataFrame, silver: VersionedTable, gold: VersionedTable) -> DataFrame:
-    """Documents to silver, and silver with a load time as the whole of gold."""
-    stored = silver.replace(plain_silver(documents))
-    return gold.replace(with_load_time(stored), cluster_by=GOLD_CLUSTER)
+def kept_rows(silver: VersionedTable) -> DataFrame:
+    """Plain silver: the 31 columns of the kept features."""
+    rows = silver.read()
+    return rows.where(F.col(OUTCOME) == KEPT).drop(*REJECTS.names, OUTCOME)
+
+
+def set_aside(silver: VersionedTable) -> DataFrame:
+    """(outcome, raw, reason) of what plain silver rejected, and of kept features that lost values."""
+    return silver.read().where(F.col(OUTCOME) != KEPT).select(OUTCOME, *REJECTS.names)
+
+
+def load_historic(
+    lines: DataFrame, silver: VersionedTable, gold: VersionedTable, at: str | None = None
+) -> DataFrame:
+    """Documents to silver, and silver with a load time as the whole of gold.
+
+    One pass writes kept rows and, beside them, what was rejected or lost.
+    """
+    silver.replace(plain_outcomes(lines))
+    return gold.replace(with_load_time(kept_rows(silver), at), cluster_by=GOLD_CLUSTER)
 
 
 def load_daily(
-    documents: DataFrame, silver: VersionedTable, gold_daily: VersionedTable
+    lines: DataFrame, silver: VersionedTable, gold_daily: VersionedTable, at: str | None = None
 ) -> DataFrame:
     """Documents to daily silver, and that with a load time to daily gold."""
-    stored = silver.replace(plain_silver(documents))
-    return gold_daily.replace(with_load_time(stored))
+    silver.replace(plain_outcomes(lines))
+    return gold_daily.replace(with_load_time(kept_rows(silver), at))
 
 
-def _sized_keys(table: VersionedTable) -> DataFrame:
-    """Stored keys, marked for broadcast only if their counted rows and bytes allow it."""
-    few = table.row_count() <= BROADCAST_KEYS
-    small = stored_bytes(table.spark, table.location()) <= BROADCAST_BYTES
-    return F.broadcast(table.read()) if few and small else table.read()
+def _few(table: VersionedTable) -> bool:
+    """Whether the counted rows and bytes of stored keys allow a broadcast."""
+    return (
+        table.row_count() <= BROADCAST_KEYS
+        and stored_bytes(table.spark, table.location()) <= BROADCAST_BYTES
+    )
 
 
 def merge_gold(
@@ -54,37 +80,52 @@ def merge_gold(
     daily_keys: VersionedTable,
     allow_empty: bool = False,
     ordered: bool = False,
+    at: str | None = None,
 ) -> DataFrame:
     """Upsert the daily batch into gold, stamping every row with this load's time.
 
     The distinct daily keys are stored first, so their size is known before the join is planned:
-    few keys are broadcast and gold is not shuffled; beyond the bounds both sides are shuffled
-    by key and adaptive execution splits hot keys.
+    few keys are broadcast and gold is not shuffled. Of more keys, those that gold has are stored
+    instead, found by reading its key column alone: only they remove rows, and most daily keys are
+    new. If even they are many, both sides are shuffled by key and adaptive execution splits hot
+    keys. Each shuffle is sized by what it moves. The content is the same each way.
     ``ordered`` adds a total sort by key, which no reader here needs.
     """
     if gold_daily.row_count() == 0 and not allow_empty:
         raise EmptyBatchError("refusing to merge an empty daily batch")
-    with sized_shuffles(gold.spark, gold.location(), gold_daily.location()):
-        daily_keys.replace(distinct_keys(gold_daily.read()), allow_empty=True)
-        keys = _sized_keys(daily_keys)
+    keys = daily_keys
+    keys.replace(distinct_keys(gold_daily.read()), allow_empty=True)
+    if not _few(keys):
+        matched = VersionedTable(keys.spark, f"{keys.path}_matched")
+        matched.replace(matched_keys(gold.read(), keys.read()), allow_empty=True)
+        keys = matched
+    few = _few(keys)
+    known = F.broadcast(keys.read()) if few else keys.read()
+    moved = 0 if few and not ordered else stored_bytes(gold.spark, gold.location())
+    with sized_shuffles(gold.spark, moved):
         history, daily = gold.read(), gold_daily.read()
         if not ordered:
-            merged = with_load_time(upsert(history, daily, keys))
+            merged = with_load_time(upsert(history, daily, known), at)
             return gold.replace(merged, cluster_by=GOLD_CLUSTER, allow_empty=allow_empty)
         history, daily = with_position(history), with_position(daily)
-        merged = ordered_by_key(upsert(history, daily, keys), *POSITION).drop(*POSITION)
-        return gold.replace(with_load_time(merged), allow_empty=allow_empty)
+        merged = ordered_by_key(upsert(history, daily, known), *POSITION).drop(*POSITION)
+        return gold.replace(with_load_time(merged, at), allow_empty=allow_empty)
 
 
 def load_tolerant(
-    lines: DataFrame, silver_path: str, gold: VersionedTable, allow_empty: bool = False
+    lines: DataFrame,
+    silver_path: str,
+    gold: VersionedTable,
+    allow_empty: bool = False,
+    at: str | None = None,
 ) -> DataFrame:
     """Document lines to checked JSON-lines silver with its rejects, then to a replaced gold.
 
-    One pass writes kept and rejected rows; gold is loaded from the kept ones.
+    One pass writes kept, rejected and lost rows; gold is loaded from the kept ones. A batch without
+    a kept row, or one that fails, leaves silver and gold as they were.
     """
     spark: SparkSession = lines.sparkSession
     checked = with_derived(checked_rows(explode_raw_features(lines)))
-    write_outcomes(checked, silver_path)
-    rows = read_silver(spark, silver_path).withColumn("insert_date", load_time_text())
+    silver_lines(spark, silver_path).replace(outcome_lines(outcomes(checked)), allow_empty=allow_empty)
+    rows = read_silver(spark, silver_path).withColumn("insert_date", load_time_text(at))
     return gold.replace(rows, allow_empty=allow_empty)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql.types import (
-    ArrayType,
     DataType,
     DoubleType,
     IntegerType,
@@ -29,7 +28,6 @@ def _struct(**fields: str | DataType) -> StructType:
     return struct
 
 
-CORRUPT = "_corrupt_record"
 # Property names and types of the feed, in feed order.
 PROPERTIES = _struct(
     mag="double",
@@ -59,17 +57,9 @@ PROPERTIES = _struct(
     type="string",
     title="string",
 )
-FEATURE = _struct(
-    type="string",
-    id="string",
-    properties=PROPERTIES,
-    geometry=_struct(type="string", coordinates=ArrayType(DoubleType())),
-)
-FEATURE_COLLECTION = _struct(type="string", features=ArrayType(FEATURE), _corrupt_record="string")
-# The same document with each feature left as its own JSON text.
-RAW_COLLECTION = _struct(
-    type="string", features=ArrayType(StringType()), _corrupt_record="string"
-)
+# A document as it is read: every feature is a variant of its own, so neither the size of a document
+# nor a fault in one feature bears on the others.
+DOCUMENT = "STRUCT<type: STRING, features: ARRAY<VARIANT>>"
 
 # Feed property -> plain silver column, in output order.
 PLAIN_COLUMNS = {
@@ -108,13 +98,17 @@ class Rule(NamedTuple):
 
     ``key``: the key must exist, a null value is kept. ``value``: it must exist and not be null.
     ``optional``: a missing key reads as null. ``default`` replaces a missing key, and a null too
-    when ``null_too``.
+    when ``null_too``. A number of an integer type must be whole unless ``cut``, which drops its
+    fraction. A value that does not fit sets the feature aside, or, where ``kept``, reads as null
+    and is recorded as lost.
     """
 
     type: str
     need: str = "optional"
     default: object = None
     null_too: bool = True
+    cut: bool = False
+    kept: bool = False
 
 
 class Field(NamedTuple):
@@ -154,21 +148,21 @@ _RULES = {
     "mmi": (_optional("double"), _optional("double")),
     "alert": (_optional("string"), _optional("string")),
     "status": (_key("string"), _key("string")),
-    "tsunami": (_key("int"), _value("int")),
-    "sig": (_key("int"), _key("int")),
+    "tsunami": (_key("int"), Rule("int", need="value", cut=True)),
+    "sig": (_key("int"), Rule("bigint", need="key", kept=True)),
     "net": (_key("string"), _key("string")),
     "code": (_key("string"), _key("string")),
     "ids": (_optional("string"), _optional("string")),
     "sources": (_optional("string"), _optional("string")),
     "types": (_optional("string"), _optional("string")),
-    "nst": (_optional("int"), _optional("int")),
+    "nst": (_optional("int"), Rule("int", kept=True)),
     "dmin": (_default("double", 0.0), _default("double", 0.0)),
     "rms": (_value("double"), _default("double", 0.0)),
     "gap": (_default("double", 0.0), _default("double", 0.0)),
     "magType": (_key("string"), _key("string")),
     "type": (_key("string"), _key("string")),
     "title": (_key("string"), _key("string")),
-    "tz": (_optional("int"), _optional("int")),
+    "tz": (_optional("int"), Rule("int", kept=True)),
     "longitude": (_value("double"), _default("double", 0.0, need="key")),
     "latitude": (_value("double"), _default("double", 0.0, need="key")),
     "depth": (_value("double"), _default("double", 0.0, need="key")),
@@ -184,6 +178,19 @@ FIELDS = tuple(
     for name, (strict, tolerant) in _RULES.items()
 )
 
+# The plain form: its columns in output order, each kept as null where its value does not fit.
+PLAIN_FIELDS = (
+    ("feature_type", "$.type", Rule("string", kept=True)),
+    *(
+        (name, f"$.properties.{source}", Rule(PROPERTIES[source].dataType.simpleString(), kept=True))
+        for source, name in PLAIN_COLUMNS.items()
+    ),
+    *(
+        (name, f"$.geometry.coordinates[{position}]", Rule("double", kept=True))
+        for position, name in enumerate(PLAIN_COORDINATES)
+    ),
+)
+
 # Tolerant silver: the derived columns come first, then the rest in field order.
 TOLERANT_FIRST = ("time", "updated", "area")
 TOLERANT_SILVER = _struct(

@@ -9,11 +9,12 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-from quakelake.files import stored_bytes
-
 MIB = 1 << 20
 # One shuffle partition should fit in a task's share of executor memory.
 SHUFFLE_TARGET_BYTES = 256 * MIB
+MOST_PARTITIONS = 20_000
+# Of a key that a feature repeats, the last value counts.
+_LAST_KEY_COUNTS = "spark.sql.variant.allowDuplicateKeys"
 
 _local_dirs: dict[str, str] = {}
 
@@ -26,6 +27,7 @@ def build_session(app_name: str = "quakelake", master: str | None = None, **conf
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
+        .config(_LAST_KEY_COUNTS, "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * MIB))
@@ -40,13 +42,16 @@ def build_session(app_name: str = "quakelake", master: str | None = None, **conf
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
-    """Event times are rendered in the session zone; every result here assumes UTC."""
+    """Settings that results depend on: times are rendered in UTC, the last of repeated keys counts."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(_LAST_KEY_COUNTS, "true")
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach, as named by the setting ``spark.checkpoint.dir``.
+
+    A folder given to ``SparkContext.setCheckpointDir`` alone is not seen here.
 
     Only a local master may fall back to a temporary folder of its own.
     """
@@ -61,22 +66,33 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
+    """A session setting for the time of one write; None leaves it as it is."""
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shuffle_partitions_for(stored: int, at_least: int) -> int:
     """Shuffle partitions for an input of ``stored`` bytes of compressed parquet.
 
-    Rows in a shuffle take roughly three times their parquet size.
+    Rows in a shuffle take roughly three times their parquet size. Blocks of a shuffle are the
+    product of its tasks on both sides, so past ``MOST_PARTITIONS`` partitions grow in size, not in
+    number: sorts and sort-merge joins of some GiB spill, while the driver has to know each block.
     """
-    return max(at_least, math.ceil(3 * stored / SHUFFLE_TARGET_BYTES))
+    return max(at_least, min(MOST_PARTITIONS, math.ceil(3 * stored / SHUFFLE_TARGET_BYTES)))
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, *paths: str) -> Iterator[None]:
-    """Raise ``spark.sql.shuffle.partitions`` to fit the stored inputs; never lower it."""
+def sized_shuffles(spark: SparkSession, stored: int) -> Iterator[None]:
+    """Raise ``spark.sql.shuffle.partitions`` to fit what is shuffled; never lower it."""
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    stored = sum(stored_bytes(spark, path) for path in paths)
-    spark.conf.set(key, str(shuffle_partitions_for(stored, int(before))))
-    try:
+    with setting(spark, key, str(shuffle_partitions_for(stored, int(spark.conf.get(key))))):
         yield
-    finally:
-        spark.conf.set(key, before)

@@ -1,27 +1,41 @@
 from quakelake.sources.bronze import (
     land_documents,
     land_payloads,
-    parse_documents,
     scan_documents,
     scan_lines,
     scan_text,
 )
-from quakelake.sources.silver_lines import read_rejects, read_silver, write_lines, write_outcomes
-from quakelake.sources.tables import POSITION, EmptyBatchError, VersionedTable, with_position
+from quakelake.sources.silver_lines import (
+    outcome_lines,
+    read_lost,
+    read_rejects,
+    read_silver,
+    silver_lines,
+    write_lines,
+)
+from quakelake.sources.tables import (
+    POSITION,
+    CommitConflictError,
+    EmptyBatchError,
+    VersionedTable,
+    with_position,
+)
 
 __all__ = [
     "POSITION",
+    "CommitConflictError",
     "EmptyBatchError",
     "VersionedTable",
     "land_documents",
     "land_payloads",
-    "parse_documents",
+    "outcome_lines",
+    "read_lost",
     "read_rejects",
     "read_silver",
     "scan_documents",
     "scan_lines",
     "scan_text",
+    "silver_lines",
     "with_position",
     "write_lines",
-    "write_outcomes",
 ]

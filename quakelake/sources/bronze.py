@@ -9,24 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakelake.functions.times import date_stamp
-from quakelake.schema import CORRUPT, FEATURE_COLLECTION
 
 INGEST_DATE = "ingest_date"
 _LINES = f"value STRING, {INGEST_DATE} STRING"
 
 
 def scan_documents(spark: SparkSession, *paths: str) -> DataFrame:
-    """Whole-file JSON documents (one per file, any layout), read with the fixed schema.
+    """Whole files as one ``value`` each: JSON documents of any layout, one per file.
 
     A file is one task's work, as JSON spread over lines cannot be split; land many files.
-    Unreadable input sets ``_corrupt_record`` instead of failing the scan.
     """
-    return (
-        spark.read.schema(FEATURE_COLLECTION)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(list(paths), multiLine=True)
-    )
+    return spark.read.text(list(paths), wholetext=True).select("value")
 
 
 def scan_lines(
@@ -47,14 +40,6 @@ def scan_text(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths))
 
 
-def parse_documents(lines: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text to typed documents, parsed once per line."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return lines.select(
-        F.from_json(F.col(value), FEATURE_COLLECTION, options).alias("document")
-    ).select("document.*")
-
-
 def _stamped(texts: DataFrame, value: Column, day: dt.date | str | None) -> DataFrame:
     return texts.select(value.alias("value"), date_stamp(day).alias(INGEST_DATE))
 
@@ -64,18 +49,14 @@ def land_documents(
     path: str,
     day: dt.date | str | None = None,
     value: str = "value",
-    one_file: bool = False,
 ) -> None:
     """Write document texts one per line under ``ingest_date=YYYYMMDD``.
 
     Line breaks in valid JSON sit between tokens only, so turning them into spaces keeps the
-    document the same. Landing a date again replaces that date alone. ``one_file`` sends the
-    whole batch through one task: for small exports only.
+    document the same. Landing a date again replaces that date alone.
     """
     one_line = F.regexp_replace(F.col(value), r"[\r\n]+", " ")
     landed = _stamped(documents, one_line, day)
-    if one_file:
-        landed = landed.coalesce(1)
     (
         landed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -87,10 +68,16 @@ def land_documents(
 def land_payloads(
     spark: SparkSession, source: str, path: str, day: dt.date | str | None = None
 ) -> None:
-    """Copy raw files, text unchanged, to ``ingest_date=YYYYMMDD``; one payload per file."""
+    """Copy raw text files to ``ingest_date=YYYYMMDD``; one payload per file.
+
+    The sink ends each file with a line feed, so one at the end of the text is taken off before: a
+    text that ends in one lands as it is, any other gains one. File names are not kept.
+    """
     payloads = spark.read.text(source, wholetext=True)
+    text = F.col("value")
+    ends = text.endswith("\n")
     (
-        _stamped(payloads, F.col("value"), day)
+        _stamped(payloads, F.when(ends, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text), day)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", 1)

@@ -1,56 +1,53 @@
-"""Tolerant silver as JSON lines: every key written, rejects beside the kept rows."""
+"""Tolerant silver as JSON lines: every key written; rejects and losses beside the kept rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quakelake.operators.checked import KEPT, LOST, OUTCOME, REJECTED
 from quakelake.schema import REJECTS, TOLERANT_SILVER
-
-OUTCOME = "outcome"
-KEPT = "kept"
-REJECTED = "rejected"
-
+from quakelake.sources.tables import VersionedTable
 
 def json_line(*columns: str) -> Column:
     """A row as one JSON object; null fields are written, not left out."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def write_lines(rows: DataFrame, path: str, one_file: bool = False) -> None:
-    """Any rows as JSON lines with their null fields. ``one_file`` is for small exports only."""
-    lines = rows.select(json_line(*rows.columns).alias("value"))
-    if one_file:
-        lines = lines.coalesce(1)
-    lines.write.mode("overwrite").text(path)
+def write_lines(rows: DataFrame, path: str) -> None:
+    """Any rows as JSON lines with their null fields."""
+    rows.select(json_line(*rows.columns).alias("value")).write.mode("overwrite").text(path)
+
 
+def outcome_lines(rows: DataFrame) -> DataFrame:
+    """Rows with an ``outcome`` as JSON lines: kept ones with the silver columns, others as rejects."""
+    kept = F.col(OUTCOME) == KEPT
+    line = F.when(kept, json_line(*TOLERANT_SILVER.names)).otherwise(json_line(*REJECTS.names))
+    return rows.select(line.alias("value"), OUTCOME)
 
-def write_outcomes(checked: DataFrame, path: str) -> None:
-    """Kept and rejected rows of ``checked`` in one pass, under ``outcome=kept|rejected``.
 
-    ``checked`` has the silver columns, ``raw``, and ``reason`` (null for kept rows).
-    """
-    kept = F.col("reason").isNull()
-    checked.select(
-        F.when(kept, json_line(*TOLERANT_SILVER.names))
-        .otherwise(json_line(*REJECTS.names))
-        .alias("value"),
-        F.when(kept, KEPT).otherwise(REJECTED).alias(OUTCOME),
-    ).write.mode("overwrite").partitionBy(OUTCOME).text(path)
+def silver_lines(spark: SparkSession, path: str) -> VersionedTable:
+    """The table of tolerant silver: JSON lines by outcome, staged and committed like any other."""
+    return VersionedTable(spark, path, stored_as="text")
 
 
-def _read_outcome(spark: SparkSession, path: str, outcome: str, columns: list[str]) -> DataFrame:
+def _read_outcome(spark: SparkSession, path: str, outcome: str) -> DataFrame:
     fields = TOLERANT_SILVER.fields if outcome == KEPT else REJECTS.fields
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    rows = spark.read.schema(f"{schema}, {OUTCOME} STRING").json(path)
-    return rows.filter(F.col(OUTCOME) == outcome).select(*columns)
+    rows = spark.read.schema(f"{schema}, {OUTCOME} STRING").json(silver_lines(spark, path).location())
+    return rows.filter(F.col(OUTCOME) == outcome).select(*[f.name for f in fields])
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    """Kept rows; the partition filter leaves the rejects unread."""
-    return _read_outcome(spark, path, KEPT, TOLERANT_SILVER.names)
+    """Kept rows; the partition filter leaves the rest unread."""
+    return _read_outcome(spark, path, KEPT)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Rejected features and documents with the reason."""
-    return _read_outcome(spark, path, REJECTED, REJECTS.names)
+    return _read_outcome(spark, path, REJECTED)
+
+
+def read_lost(spark: SparkSession, path: str) -> DataFrame:
+    """Features that were kept without some of their values, and the names of those."""
+    return _read_outcome(spark, path, LOST)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quakelake.files import delete_folder, exists
+from quakelake.files import delete_folder, exists, names_in, read_small, write_new
+from quakelake.operators.checked import KEPT, OUTCOME
+from quakelake.session import setting
 
 POSITION = ("file_path", "row_index")
 _COMMITS = "version BIGINT, folder STRING, row_count BIGINT, committed_at TIMESTAMP"
@@ -23,16 +27,23 @@ class EmptyBatchError(ValueError):
     """A replace was asked to swap in a table without rows."""
 
 
+class CommitConflictError(RuntimeError):
+    """Another writer committed the version that this one was to be."""
+
+
 class VersionedTable:
     """A table whose every replace writes a new folder and then commits it.
 
     Readers resolve the last commit, so the new content may be computed from the table itself,
-    and a job that dies half-way leaves the committed content alone. One writer at a time.
+    and a job that dies half-way leaves the committed content alone. A commit is a small file named
+    by its version, which only one writer can create: of two writers the second fails. The newest
+    version is found by name, with no look into the others.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, stored_as: str = "parquet") -> None:
         self.spark = spark
         self.path = path.rstrip("/")
+        self.stored_as = stored_as
 
     @property
     def _log(self) -> str:
@@ -47,11 +58,13 @@ class VersionedTable:
             return self.spark.createDataFrame([], _COMMITS)
         return self.spark.read.schema(_COMMITS).json(self._log)
 
-    def _recent(self, count: int) -> list[Row]:
+    def _recent(self, count: int) -> list[dict]:
         """The last few commits, newest first."""
-        return self.commits().orderBy(F.desc("version"), F.desc("committed_at")).take(count)
+        names = [name for name in names_in(self.spark, self._log) if name.endswith(".json")]
+        newest = sorted(names, reverse=True)[:count]
+        return [json.loads(read_small(self.spark, f"{self._log}/{name}")) for name in newest]
 
-    def _current(self) -> Row:
+    def _current(self) -> dict:
         recent = self._recent(1)
         if not recent:
             raise FileNotFoundError(f"no committed version under {self.path}")
@@ -61,7 +74,7 @@ class VersionedTable:
         return bool(self._recent(1))
 
     def row_count(self) -> int:
-        """Rows of the committed content, as counted when it was written."""
+        """Rows of the committed content, as counted when it was written; of outcomes the kept ones."""
         return self._current()["row_count"]
 
     def location(self) -> str:
@@ -69,7 +82,7 @@ class VersionedTable:
         return self._folder(self._current()["folder"])
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.location())
+        return self.spark.read.format(self.stored_as).load(self.location())
 
     def replace(
         self,
@@ -81,37 +94,49 @@ class VersionedTable:
         """Make ``rows`` the content, and return it read back from storage.
 
         ``cluster_by`` sorts inside each task, with no shuffle, so that row-group statistics on
-        those columns let later filters skip data. The last ``keep`` versions stay readable.
+        those columns let later filters skip data. Rows with an ``outcome`` are stored by it, in
+        the same pass, and only kept ones count. The last ``keep`` versions stay readable.
         """
-        recent = self._recent(keep + 1)
+        recent = self._recent(1)
         version = recent[0]["version"] + 1 if recent else 1
-        folder = f"v{version:06d}-{uuid.uuid4().hex[:8]}"
+        folder = f"v{version:09d}-{uuid.uuid4().hex[:8]}"
+        parted = OUTCOME in rows.columns
         if cluster_by:
             rows = rows.sortWithinPartitions(*cluster_by)
+        counted = F.count_if(F.col(OUTCOME) == KEPT) if parted else F.count(F.lit(1))
         seen = Observation()
-        (
-            rows.observe(seen, F.count(F.lit(1)).alias("row_count"))
-            .write.mode("errorifexists")
-            .parquet(self._folder(folder))
-        )
-        written = self.spark.read.parquet(self._folder(folder))
-        stored = written.count()  # from the parquet footers
-        produced = seen.get["row_count"]
-        if stored != produced or (stored == 0 and not allow_empty):
+        observed = rows.observe(seen, F.count(F.lit(1)).alias("all"), counted.alias("row_count"))
+        writer = observed.write.mode("errorifexists").format(self.stored_as)
+        # A few outcomes only: writers for all of them stay open, and no task sorts its rows.
+        with setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", "4" if parted else None):
+            (writer.partitionBy(OUTCOME) if parted else writer).save(self._folder(folder))
+        written = self.spark.read.format(self.stored_as).load(self._folder(folder)) if seen.get["all"] else None
+        # From the parquet footers; other formats are not counted again.
+        stored = written.count() if written is not None and self.stored_as == "parquet" else seen.get["all"]
+        if stored != seen.get["all"] or (seen.get["row_count"] == 0 and not allow_empty):
             delete_folder(self.spark, self._folder(folder))
-            if stored != produced:
-                raise RuntimeError(f"{self.path}: {stored} rows stored, {produced} produced")
+            if stored != seen.get["all"]:
+                raise RuntimeError(f"{self.path}: {stored} rows stored, {seen.get['all']} produced")
             raise EmptyBatchError(f"refusing to replace {self.path} by an empty table")
-        self._commit(version, folder, stored)
-        for old in recent[max(keep, 1) - 1 :]:  # each is a whole copy of the table
-            delete_folder(self.spark, self._folder(old["folder"]))
-        return written
+        self._commit(version, folder, seen.get["row_count"])
+        self._sweep(version, keep)
+        return written if written is not None else self.spark.createDataFrame([], rows.schema)
 
     def _commit(self, version: int, folder: str, row_count: int) -> None:
-        commit = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit(folder).alias("folder"),
-            F.lit(row_count).cast("bigint").alias("row_count"),
-            F.current_timestamp().alias("committed_at"),
-        )
-        commit.coalesce(1).write.mode("append").json(self._log)
+        now = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+        commit = {"version": version, "folder": folder, "row_count": row_count, "committed_at": now}
+        name = f"{self._log}/v{version:09d}.json"
+        if exists(self.spark, name):
+            delete_folder(self.spark, self._folder(folder))
+            raise CommitConflictError(f"{self.path}: another writer committed version {version}")
+        write_new(self.spark, name, json.dumps(commit))
+
+    def _sweep(self, version: int, keep: int) -> None:
+        """Remove folders that none of the last commits names: old versions and failed writes.
+
+        Folders of later versions belong to a writer that is still at work.
+        """
+        named = {commit["folder"] for commit in self._recent(max(keep, 1))}
+        for name in names_in(self.spark, f"{self.path}/data"):
+            if name not in named and name[1:10] <= f"{version:09d}":
+                delete_folder(self.spark, self._folder(name))
