@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quakelake.llm import ppm
 from quakelake.llm.mixing import chance
-from quakelake.llm.support import pick, stored, texts_of
+from quakelake.llm.support import pick, slices, stored, texts_of
 from quakelake.llm.toxicity import fold
 
 FOLDS = 4
@@ -69,7 +69,7 @@ class Model:
 
 def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(256, np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         for text in texts_of(batch):
             counts += np.bincount(np.frombuffer(ppm.prepared(text), np.uint8), minlength=256)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(counts)], ["byte", "n"])
@@ -134,7 +134,7 @@ def predict(docs: DataFrame) -> DataFrame:
     )
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [
                 model.predict(text) if letter and model.languages else (UNDETERMINED, 0.0)
                 for text, letter in zip(texts_of(batch), batch.column("letter").to_pylist())

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quakelake.llm.support import pick
+from quakelake.llm.support import pick, slices
 from quakelake.llm.tokens import encoder, tokenizer_path
 
 WINDOW = 2048
@@ -128,7 +128,7 @@ def _pack(path: str | None, name: str, window: int, end_id: int):
             size = 0
             return pa.RecordBatch.from_arrays(columns, names)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 take(packer.add(doc_id, encode(text or "") + end))
                 if size >= _BATCH_BYTES:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quakelake.llm.components import connected
-from quakelake.llm.support import numbered, pick, stored, text_of, texts_of, without
+from quakelake.llm.support import numbered, pick, slices, stored, text_of, texts_of, without
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -58,7 +58,7 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = np.fromiter((fingerprint(text) for text in texts_of(batch)), np.uint64, batch.num_rows)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("text_hash"), pa.array(found.view(np.int64))],

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -79,6 +80,13 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in small parts, so that a task never holds a whole batch a second time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """UTF-8 bytes of a text column, null as empty."""
     values = batch.column(column)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quakelake.llm.perfect_hash import PerfectHash
-from quakelake.llm.support import pick, text_of
+from quakelake.llm.support import pick, slices, text_of
 from quakelake.llm.tokens import encoder, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -87,7 +87,7 @@ def _shards(path: str | None, name: str, end_id: int, width: int, shard_tokens:
                 held.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _KINDS)], _NAMES)
 
-        for batch in batches:
+        for batch in slices(batches):
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = encode(text or "") + end
                 keys.append(key)
@@ -170,7 +170,7 @@ def _documents(width: int, wanted: list[int] | None):
     """Documents of each shard, found through its index; null keys, which it lacks, by number."""
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             for row in batch.to_pylist():
                 shard = Shard(row)
                 keys = np.array(wanted, "<i8") if wanted is not None else np.unique(shard.keys[shard.null_keys :])

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakelake.llm.mixing import chance
-from quakelake.llm.support import numbered, pick, stored, texts_of
+from quakelake.llm.support import numbered, pick, slices, stored, texts_of
 
 GRAM = 5
 HASH_BITS = 20
@@ -79,17 +79,20 @@ def _sigmoid(values: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(values / 2))
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, width: int, prior: float) -> tuple[np.ndarray, float]:
-    """Weights and bias of one classifier; a row lists the places of its features."""
-    lengths = np.array([len(row) for row in rows])
-    places = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
-    owner = np.repeat(np.arange(len(rows)), lengths)
+def fit(
+    places: np.ndarray, lengths: np.ndarray, toxic: np.ndarray, width: int, prior: float
+) -> tuple[np.ndarray, float]:
+    """Weights and bias of one classifier.
+
+    ``places`` has the places of each row's features, row after row; ``lengths`` how many each has.
+    """
+    owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     n_toxic, n_rest = max(1, toxic.sum()), max(1, (~toxic).sum())
     values = np.zeros(width + 1)
     values[-1] = np.log(prior / (1 - prior))
     mean, square = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
-        score = np.bincount(owner, values[places], len(rows)) + values[-1]
+        score = np.bincount(owner, values[places], len(lengths)) + values[-1]
         high = _sigmoid(score)
         clean_risk = np.logaddexp(0, score[~toxic]).sum() / n_rest
         clean_risk -= prior * np.logaddexp(0, score[toxic]).sum() / n_toxic
@@ -139,7 +142,7 @@ def _confirmed(labels: DataFrame) -> DataFrame:
 
 
 def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = pa.array([features(text) for text in texts_of(batch)], pa.list_(pa.int32()))
         names = ["doc_id", "toxic"]
         yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), found], [*names, "features"])
@@ -149,7 +152,7 @@ def _places_of(chosen: np.ndarray):
     """Features replaced by their places among the chosen; the others fall away."""
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for row in batch.column("features"):
                 places = np.searchsorted(chosen, row.values.to_numpy())
@@ -164,10 +167,11 @@ def _places_of(chosen: np.ndarray):
 
 def _trained(width: int, prior: float):
     def of_classifier(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
-        toxic = rows.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
-        places = [np.asarray(row, np.int64) for row in rows.column("places").to_pylist()]
-        weights, bias = fit(places, toxic, width, prior)
+        rows = rows.sort_by([("doc_id", "ascending"), ("toxic", "ascending")]).combine_chunks()
+        toxic = rows.column("toxic").to_numpy().astype(bool)
+        places = rows.column("places").combine_chunks()
+        lengths = places.value_lengths().to_numpy(zero_copy_only=False)
+        weights, bias = fit(places.flatten().to_numpy(), lengths, toxic, width, prior)
         return pa.table({"weights": pa.array([weights]), "bias": pa.array([bias])})
 
     return of_classifier
@@ -222,7 +226,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 def _scores(model: Model):
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
-        for batch in batches:
+        for batch in slices(batches):
             found = pa.array([score(text) for text in texts_of(batch)], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "score"])
 
@@ -254,7 +258,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([score(text) < 0.5 for text in texts_of(batch, at["text"])], pa.bool_()))
 
     return rows.mapInArrow(kept, rows.schema).toDF(*docs.columns)
