@@ -1,11 +1,12 @@
 """Token ids of whole texts, with a cache of the words met before.
 
 The tokenizers used here never join characters across a border between a character that is not
-white space and a blank or line feed after it, nor across one between a letter and a full stop or
-the like. So a text cut at these borders gives, piece by piece, the ids of the whole; each distinct
-piece is encoded once while it stays in the cache. Texts with any other white space are encoded in
-one piece, as are those with a special token's string. A tokenizer that lowers letters and drops white space gets pieces without either, which
-are fewer.
+white space and a blank or line feed after it, nor between a line feed and a word, nor between a
+letter and a full stop or the like. So the ids of a text whose words are parted by single blanks and
+line feeds are those of its words, one after another; a word behind a blank takes the blank with it
+unless the tokenizer drops white space. Each distinct word is encoded once while it stays in the
+cache. Texts with other white space between words are cut into pieces in the same way, more slowly;
+those with white space of another kind, or with a special token's string, are encoded in one piece.
 """
 
 from __future__ import annotations
@@ -16,16 +17,26 @@ import re
 import struct
 from functools import lru_cache
 
-# Pieces of one of the two generations of the cache.
-CACHE_PIECES = 1 << 19
-# A word whose last letter only stops and the like follow, up to white space or the end.
-_STOPS = r".,;:!?"
-_BEFORE_STOPS = rf"[^ \n{_STOPS}]*[A-Za-zÀ-ÖØ-öø-ÿ](?=[{_STOPS}]+(?:[ \n]|$))"
-_PIECE = re.compile(rf"[ \n]*{_BEFORE_STOPS}|[ \n]*[^ \n]+|[ \n]+")
-_BARE_PIECE = re.compile(rf"{_BEFORE_STOPS}|[^ \n]+")
+# Words of one of the two generations of a cache.
+CACHE_WORDS = 3 << 17
+_STOPS = ".,;:!?"
+_LETTER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]")
+_PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
+def _even_space(text: str) -> bool:
+    """Whether single blanks and line feeds part the words, with none at the ends."""
+    if text[0] in " \n" or text[-1] in " \n":
+        return False
+    return not any(pair in text for pair in ("  ", " \n", "\n ", "\n\n"))
+
+
+def _other_space(text: str) -> bool:
+    """Whether there is white space besides blanks and line feeds; most texts need no search."""
+    return not text.replace("\n", " ").isprintable() and bool(_OTHER_SPACE.search(text))
+
+
 def tokenizer_path(name: str) -> str:
     """Path of a tokenizer file that is installed with the workers' Python."""
     import public_tokenizers
@@ -46,6 +57,53 @@ def _lowers_and_drops(parts: dict) -> bool:
     return any(step and step["type"] == "Lowercase" for step in steps) and bool(found_only) and not matched
 
 
+def _lowered(text: str) -> str:
+    """ASCII letters lowered, as bytes.lower does; a tokenizer that lowers does the rest."""
+    return text.encode().lower().decode()
+
+
+class _Words:
+    """Ids of words behind a fixed lead, in two generations: what is not met again is forgotten."""
+
+    def __init__(self, encode, lead: str = "", bare: _Words | None = None) -> None:
+        self._encode, self._lead, self._bare = encode, lead, bare or self
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        new = set(words).difference(self._young)
+        if new:
+            if len(self._young) > CACHE_WORDS:
+                self._old, self._young = self._young, {}
+                new = set(words)
+            self._learn(new)
+        return list(map(self._young.__getitem__, words))
+
+    def _learn(self, words: set[str]) -> None:
+        young, old = self._young, self._old
+        missing, ended = [], []
+        for word in words:
+            known = old.get(word)
+            if known is not None:
+                young[word] = known
+                continue
+            stem = word.rstrip(_STOPS)
+            if len(stem) < len(word) and stem and _LETTER.match(stem[-1]):
+                ended.append((word, stem, word[len(stem) :]))
+            else:
+                missing.append(word)
+        if missing:
+            young.update(zip(missing, self._encode([self._lead + word for word in missing])))
+        if ended:
+            stems = {stem for _, stem, _ in ended}.difference(young)
+            if stems:
+                self._learn(stems)
+            ends = sorted({end for _, _, end in ended})
+            tails = dict(zip(ends, self._bare.ids(ends)))
+            for word, stem, end in ended:
+                young[word] = young[stem] + tails[end]
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, without special tokens."""
 
@@ -58,10 +116,10 @@ class Encoder:
             parts = json.load(file)
         self._lowers = _lowers_and_drops(parts)
         # Strings that the tokenizer takes out of a text before anything else; none if empty.
-        added = [re.escape(token["content"]) for token in parts["added_tokens"]]
-        self._added = re.compile("|".join(added) or r"(?!)", re.IGNORECASE)
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._added = [_lowered(token["content"]) for token in parts["added_tokens"]]
+        self._bare = _Words(self._encode)
+        self._spaced = _Words(self._encode, " ", self._bare)
+        self._line_feed = self._encode(["\n"])[0]
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -74,29 +132,23 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _OTHER_SPACE.search(text) or self._added.search(text):
+        lowered = _lowered(text)
+        if _other_space(text) or any(string in lowered for string in self._added):
             return self.whole(text)
         if self._lowers:
-            # bytes.lower changes ASCII alone; the tokenizer lowers the rest.
-            pieces = _BARE_PIECE.findall(text.encode().lower().decode())
-        else:
-            pieces = _PIECE.findall(text)
-        young = self._young
-        new = set(pieces).difference(young)
-        if new:
-            old = self._old
-            missing = []
-            for piece in new:
-                known = old.get(piece)
-                if known is None:
-                    missing.append(piece)
-                else:
-                    young[piece] = known
-            young.update(zip(missing, self._encode(missing)))
-        ids = b"".join(map(young.__getitem__, pieces))
-        if len(young) > CACHE_PIECES:
-            self._old, self._young = young, {}
-        return ids
+            return b"".join(self._bare.ids(lowered.split()))
+        if not _even_space(text):
+            return b"".join(self._bare.ids(_PIECE.findall(text)))
+        lines = [line.split(" ") for line in text.split("\n")]
+        firsts = self._bare.ids([line[0] for line in lines])
+        others = self._spaced.ids([word for line in lines for word in line[1:]])
+        found, at = [], 0
+        for first, line in zip(firsts, lines):
+            found.append(first)
+            found += others[at : at + len(line) - 1]
+            at += len(line) - 1
+            found.append(self._line_feed)
+        return b"".join(found[:-1])
 
 
 @lru_cache(maxsize=2)

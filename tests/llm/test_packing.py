@@ -36,7 +36,7 @@ def test_special_strings_and_long_words(encoders, text):
 def test_the_cache_forgets_and_stays_right(encoders, monkeypatch):
     from quakelake.llm import tokens
 
-    monkeypatch.setattr(tokens, "CACHE_PIECES", 3)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 3)
     encoder = Encoder(tokenizer_path(TOKENIZERS[0]))
     for i in range(30):
         text = f"word{i % 7} and word{i % 3}, again."
