@@ -66,3 +66,10 @@ def test_over_a_magnitude(gold):
     areas = [row["area"] for row in analytics.areas_over(gold).collect()]
     assert sorted(areas) == ["", "A", "A", "B", "C"]
     assert [row["area"] for row in analytics.areas_over(gold, 7).collect()] == ["B"]
+
+
+def test_years_beyond_9999_are_later_than_any_bound(spark):
+    """As dates compare, though such a time sorts first as text."""
+    rows = [("1", "+56777-01-20 00:00:00", "far", 9.5), ("2", "2024-01-25 00:00:00", "near", 5.0), ("3", "-0001-01-01 00:00:00", "old", 9.9)]
+    gold = spark.createDataFrame(rows, "ids STRING, time STRING, area STRING, magnitude DOUBLE")
+    assert bag(analytics.top_area_of_week(gold, "2024-01-27")) == {("far",)}

@@ -5,6 +5,8 @@ import pytest
 from quakelake.operators import (
     checked_rows,
     explode_raw_features,
+    lost_rows,
+    outcomes,
     rejected_rows,
     strict_rows,
     tolerant_rows,
@@ -125,16 +127,72 @@ def test_rejects_carry_the_text(lines, feature, collection):
     assert raws[1] == "{broken"
 
 
-def test_a_repeated_key_costs_only_its_feature(lines, feature, collection):
+def test_of_a_repeated_key_the_last_value_counts(lines, feature, collection):
     twice = json.dumps(feature()).replace('"mag": 4.5', '"mag": 4.5, "mag": 5.5')
     document = json.dumps(collection(feature(id_="ok"), "HERE")).replace('"HERE"', twice)
-    features = explode_raw_features(lines(document))
-    assert only(tolerant_rows(features))["id"] == "ok"
-    assert only(rejected_rows(features))["reason"] == "feature is not an object"
+    rows = tolerant_rows(explode_raw_features(lines(document))).collect()
+    assert sorted((row["id"], row["mag"]) for row in rows) == [("ev1", 5.5), ("ok", 4.5)]
+
+
+def test_documents_without_an_array_of_features_are_rejects(lines, collection):
+    features = explode_raw_features(lines(collection(), {"type": "x"}, {"features": {}}, {"features": None}, "null"))
+    assert [row["reason"] for row in rejected_rows(features).collect()] == ["no feature array"] * 4
+
+
+@pytest.mark.parametrize("text", ["{broken", "", "7, 8", "{} garbage", "[]", '{"features": []} {"features": []}'])
+def test_text_that_is_not_one_document_is_unreadable(lines, text):
+    reasons = [row["reason"] for row in rejected_rows(explode_raw_features(lines(text))).collect()]
+    assert reasons in (["unreadable document"], ["no feature array"])
+    if "features" in text or "garbage" in text or not text:
+        assert reasons == ["unreadable document"]
+
+
+def test_a_document_of_any_size_gives_the_same_rows(lines, feature, collection):
+    """More than one variant may hold, against the same features one by one."""
+    filler = "x" * 200_000
+    features = [feature(id_=f"ev{i}", url=filler, nst="abc" if i % 9 == 0 else 3) for i in range(100)]
+    features += [json.dumps(feature()), 7, feature(without=("code",))]
+    parts = [collection(each) for each in features]
+
+    def both(*documents):
+        exploded = explode_raw_features(lines(*documents))
+        kept = sorted(row["id"] for row in tolerant_rows(exploded).select("id").collect())
+        lost = sorted(row["reason"] for row in lost_rows(exploded).select("reason").collect())
+        return kept, sorted(row["reason"] for row in rejected_rows(exploded).select("reason").collect()), lost
+
+    whole = both(collection(*features))
+    assert whole == both(*parts)
+    assert len(whole[0]) + len(whole[1]) == len(features) and whole[2] == ["lost nst"] * 12
+
+
+LOST = [
+    ((), {"nst": "abc"}, {"nst": None, "lost": "lost nst"}),
+    ((), {"nst": 12.0}, {"nst": 12, "lost": None}),
+    ((), {"nst": 12.7}, {"nst": None, "lost": "lost nst"}),
+    ((), {"tz": "x", "sig": 312.5}, {"tz": None, "sig": None, "lost": "lost sig, tz"}),
+    ((), {"sig": 5_000_000_000}, {"sig": 5_000_000_000, "lost": None}),
+    ((), {"sig": "312"}, {"sig": 312, "lost": None}),
+    ((), {"tsunami": 1.9}, {"tsunami": 1, "lost": None}),
+    ((), {"nst": None}, {"nst": None, "lost": None}),
+]
+
+
+def test_tolerant_keeps_features_without_values_that_do_not_fit(lines, feature, collection):
+    rows = checked_rows(explode_raw_features(lines(collection(*cases(feature, LOST))))).collect()
+    found = {number_of(row): row for row in rows}
+    for number, (_, _, expected) in enumerate(LOST):
+        assert found[number]["reason"] is None
+        assert {name: found[number][name] for name in expected} == expected
 
 
-def test_documents_without_features_give_nothing(lines, collection):
-    assert checked_rows(explode_raw_features(lines(collection(), {"type": "x"}))).count() == 0
+def test_outcomes_account_for_every_feature(lines, feature, collection):
+    features = [feature(nst="abc"), feature(without=("code",)), 7, feature()]
+    rows = outcomes(with_derived(checked_rows(explode_raw_features(lines(collection(*features), "{")))))
+    found = sorted((row["outcome"], row["reason"] or "") for row in rows.collect())
+    assert found == [
+        ("kept", ""), ("kept", ""), ("lost", "lost nst"), ("rejected", "feature is not an object"),
+        ("rejected", "missing code"), ("rejected", "unreadable document"),
+    ]
 
 
 def test_derived_columns_come_first(lines, feature, collection):
@@ -172,6 +230,9 @@ def test_strict_values(lines, feature, collection):
         ((), {"mag": None}, "null mag"),
         (("place",), {}, "missing place"),
         (("time",), {}, "missing time"),
+        ((), {"sig": 312.5}, "bad sig"),
+        ((), {"nst": 12.7}, "bad nst"),
+        ((), {"time": 1729555199999.5}, "bad time"),
         ((), {"coordinates": (1, 2, None)}, "null depth"),
         ((), {"coordinates": (1, 2)}, "missing depth"),
     ],

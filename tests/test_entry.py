@@ -27,13 +27,10 @@ def bag(table):
     return names, sorted(map(repr, clean))
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in spark_entry.queries() if n.startswith("q_")))
 def test_query_matches_its_sql(spark, database, name):
     found = spark_entry.queries()[name](spark, SF_DIR).toArrow()
     assert found.num_rows > 0
-    if name not in SQL:
-        assert name in ("q_gold_insert_dt", "q_insert_date_text")
-        return
     expected = database.sql(SQL[name]).to_arrow_table()
     assert bag(found) == bag(expected)
 

@@ -1,14 +1,12 @@
 import json
 
-from pyspark.sql import functions as F
-
-from quakelake.operators import explode_features, flatten_features, plain_silver
+from quakelake.operators import plain_outcomes, plain_silver
 from quakelake.schema import PLAIN_COLUMNS, PLAIN_COORDINATES
-from quakelake.sources import parse_documents, scan_documents
+from quakelake.sources import scan_documents
 
 
 def test_silver_columns_and_values(lines, feature, collection):
-    silver = plain_silver(parse_documents(lines(collection(feature()))))
+    silver = plain_silver(lines(collection(feature())))
     assert silver.columns == ["feature_type", *PLAIN_COLUMNS.values(), *PLAIN_COORDINATES, "area"]
     assert len(silver.columns) == 31
     row = silver.first()
@@ -25,7 +23,7 @@ def test_silver_columns_and_values(lines, feature, collection):
 
 def test_types_come_from_the_schema(lines, feature, collection):
     """No inference: whole-number magnitudes and all-null fields keep their type."""
-    silver = plain_silver(parse_documents(lines(collection(feature(mag=5, tz=None)))))
+    silver = plain_silver(lines(collection(feature(mag=5, tz=None))))
     assert dict(silver.dtypes)["magnitude"] == "double"
     assert dict(silver.dtypes)["timezone"] == "int"
     assert silver.first()["magnitude"] == 5.0
@@ -35,7 +33,7 @@ def test_missing_coordinates_and_keys_are_null(lines, feature, collection):
     short = feature(coordinates=(1, 2))
     none = feature(without=("place", "time"))
     none["geometry"] = None
-    rows = plain_silver(parse_documents(lines(collection(short, none)))).collect()
+    rows = plain_silver((lines(collection(short, none)))).collect()
     assert rows[0]["geometry_depth"] is None and rows[0]["geometry_latitude"] == 2.0
     assert rows[1]["geometry_longitude"] is None
     assert rows[1]["place"] is None and rows[1]["time"] is None and rows[1]["area"] is None
@@ -43,23 +41,29 @@ def test_missing_coordinates_and_keys_are_null(lines, feature, collection):
 
 def test_documents_without_features_give_no_rows(lines, feature, collection):
     documents = lines(collection(), {"type": "FeatureCollection", "features": None}, {}, "no json")
-    assert explode_features(parse_documents(documents)).count() == 0
+    assert plain_silver(documents).count() == 0
+
+
+def test_values_of_drifting_type_are_kept(lines, feature, collection):
+    document = collection(feature(mag="1.5", felt=3.0, sig="7"), feature(coordinates=(1, "abc", 3)))
+    rows = plain_silver(lines(document)).collect()
+    assert (rows[0]["magnitude"], rows[0]["felt"], rows[0]["sig"]) == (1.5, 3, 7)
+    assert [rows[1][f"geometry_{name}"] for name in ("longitude", "latitude", "depth")] == [1.0, None, 3.0]
 
 
-def test_unreadable_documents_are_marked(lines, feature, collection):
-    documents = parse_documents(lines("no json", collection(feature())))
-    marked = documents.filter(F.col("_corrupt_record").isNotNull()).collect()
-    assert [row["_corrupt_record"] for row in marked] == ["no json"]
+def test_a_value_that_does_not_fit_leaves_the_rest_and_is_recorded(lines, feature, collection):
+    odd = feature(mag="abc", felt=3.5, ids=",ev2,")
+    rows = plain_outcomes(lines(collection(feature(), odd, 7, feature(ids=",ev3,")))).collect()
+    kept = [(row["ids"], row["magnitude"]) for row in rows if row["outcome"] == "kept"]
+    assert kept == [(",ev1,", 4.5), (",ev2,", None), (",ev3,", 4.5)]
+    records = [(row["outcome"], row["reason"], row["raw"]) for row in rows if row["outcome"] != "kept"]
+    assert records[0][:2] == ("lost", "lost magnitude, felt") and json.loads(records[0][2]) == odd
+    assert records[1] == ("rejected", "feature is not an object", "7")
 
 
-def test_one_bad_value_leaves_the_rest(lines, feature, collection):
-    document = collection(feature(), feature(mag="abc", ids=",ev2,"), feature(ids=",ev3,"))
-    rows = plain_silver(parse_documents(lines(document))).collect()
-    assert [(row["ids"], row["magnitude"]) for row in rows] == [
-        (",ev1,", 4.5),
-        (",ev2,", None),
-        (",ev3,", 4.5),
-    ]
+def test_flattening_reads_the_properties_once(lines, feature, collection):
+    plan = plain_silver(lines(collection(feature())))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("$.properties,") == 1
 
 
 def test_multi_line_files(spark, tmp_path, feature, collection):
@@ -68,15 +72,8 @@ def test_multi_line_files(spark, tmp_path, feature, collection):
         document = collection(feature(ids=f",{number},"), feature(ids=f",{number}b,"))
         (tmp_path / f"raw_{number}.json").write_text(json.dumps(document, indent=2))
     (tmp_path / "raw_broken.json").write_text('{"type": "FeatureCollection", "features": [')
-    documents = scan_documents(spark, str(tmp_path))
-    flat = flatten_features(explode_features(documents))
-    assert sorted(row["ids"] for row in flat.select("ids").collect()) == [
-        ",0,",
-        ",0b,",
-        ",1,",
-        ",1b,",
-        ",2,",
-        ",2b,",
-    ]
-    marked = documents.select("features", "_corrupt_record").collect()
-    assert sum(row["_corrupt_record"] is not None for row in marked) == 1
+    silver = plain_silver(scan_documents(spark, str(tmp_path)))
+    found = sorted(row["ids"] for row in silver.select("ids").collect())
+    assert found == [",0,", ",0b,", ",1,", ",1b,", ",2,", ",2b,"]
+    records = plain_outcomes(scan_documents(spark, str(tmp_path))).where("outcome <> 'kept'")
+    assert [row["reason"] for row in records.collect()] == ["unreadable document"]

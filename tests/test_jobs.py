@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quakelake.operators import analytics
-from quakelake.plans import load_daily, load_historic, load_tolerant, merge_gold
-from quakelake.sources import EmptyBatchError, VersionedTable, parse_documents, read_rejects
+from quakelake.plans import kept_rows, load_daily, load_historic, load_tolerant, merge_gold, set_aside
+from quakelake.sources import EmptyBatchError, VersionedTable, read_rejects, read_silver
 
 
 @pytest.fixture
@@ -19,8 +19,8 @@ def loaded(lines, feature, collection, tables):
 
     history = collection(one("a", 1.0), one("b", 2.0), one("b2", 3.0), one(None, 4.0))
     daily = collection(one("b", 5.0), one("b2", 6.0), one("b2", 7.0), one("c", 8.0), one(None, 9.0))
-    load_historic(parse_documents(lines(history)), tables["silver"], tables["gold"])
-    load_daily(parse_documents(lines(daily)), tables["silver_daily"], tables["gold_daily"])
+    load_historic(lines(history), tables["silver"], tables["gold"])
+    load_daily(lines(daily), tables["silver_daily"], tables["gold_daily"])
     return tables
 
 
@@ -38,7 +38,8 @@ MERGED = sorted(
 
 
 def test_loads_store_silver_and_gold(loaded):
-    assert len(loaded["silver"].read().columns) == 31
+    assert len(kept_rows(loaded["silver"]).columns) == 31
+    assert set_aside(loaded["silver"]).count() == 0
     gold = loaded["gold"].read()
     assert gold.columns[-1] == "insert_dt" and len(gold.columns) == 32
     assert dict(gold.dtypes)["insert_dt"] == "timestamp"
@@ -73,7 +74,7 @@ def test_ordered_merge(loaded):
 
 
 def test_empty_daily_batch_is_refused(loaded, lines, collection):
-    load = parse_documents(lines(collection()))
+    load = lines(collection())
     with pytest.raises(EmptyBatchError):
         load_daily(load, loaded["silver_daily"], loaded["gold_daily"])
     assert loaded["gold_daily"].row_count() == 5
@@ -102,13 +103,40 @@ def test_tolerant_job(spark, tmp_path, lines, feature, collection, tables):
     with pytest.raises(EmptyBatchError):
         load_tolerant(lines("{broken"), silver, tables["tolerant"])
     assert tables["tolerant"].row_count() == 3
+    assert sorted(row["id"] for row in read_silver(spark, silver).collect()) == ["ev1", "ev2", "ev3"]
+    assert read_rejects(spark, silver).count() == 2
+
+
+def test_a_crashed_tolerant_batch_leaves_silver(spark, tmp_path, lines, feature, collection, tables):
+    silver = str(tmp_path / "tolerant_silver")
+    load_tolerant(lines(collection(feature())), silver, tables["tolerant"])
+    crash = F.when(F.col("value") != "x", F.col("value")).otherwise(F.raise_error(F.lit("lost")))
+    broken = lines(collection(feature(id_="ev2")), "x").select(crash.alias("value"))
+    with pytest.raises(Exception, match="lost"):
+        load_tolerant(broken, silver, tables["tolerant"])
+    assert [row["id"] for row in read_silver(spark, silver).collect()] == ["ev1"]
+
+
+def test_plain_loads_keep_what_is_sound_and_record_the_rest(lines, feature, collection, tables):
+    documents = lines(collection(feature()), "{broken", collection(feature(ids="b"), 7, feature(ids="c", mag="x")))
+    assert load_historic(documents, tables["silver"], tables["gold"]).count() == 3
+    found = sorted((row["outcome"], row["reason"]) for row in set_aside(tables["silver"]).collect())
+    assert found == [
+        ("lost", "lost magnitude"), ("rejected", "feature is not an object"), ("rejected", "unreadable document"),
+    ]
+    assert tables["silver"].row_count() == 3
+
+
+def test_a_load_can_name_its_time(lines, feature, collection, tables):
+    gold = load_historic(lines(collection(feature())), tables["silver"], tables["gold"], at="2024-01-30 12:00:00")
+    assert str(gold.first()["insert_dt"]) == "2024-01-30 12:00:00"
 
 
 def test_loads_do_not_shuffle(spark, lines, feature, collection, tables):
     """Documents go to silver and gold in map tasks only."""
     from quakelake.operators import plain_silver
 
-    plan = plain_silver(parse_documents(lines(collection(feature()))))._jdf.queryExecution()
+    plan = plain_silver(lines(collection(feature())))._jdf.queryExecution()
     assert "Exchange" not in plan.executedPlan().toString()
 
 
@@ -128,15 +156,30 @@ def test_keys_are_broadcast_only_within_bounds(loaded, monkeypatch):
     """Past either bound the merge goes another way to the same content."""
     from quakelake.plans import jobs
 
-    def hinted():
-        keys = jobs._sized_keys(loaded["keys"])
-        return "broadcast" in keys._jdf.queryExecution().logical().toString().lower()
-
-    merge(loaded)
-    assert hinted()
-    monkeypatch.setattr(jobs, "BROADCAST_KEYS", 1)
-    assert not hinted()
-    monkeypatch.setattr(jobs, "BROADCAST_KEYS", 10)
-    monkeypatch.setattr(jobs, "BROADCAST_BYTES", 10)
-    assert not hinted()
-    assert content(merge(loaded)) == sorted([*MERGED, (None, 9.0)], key=repr)
+    matched = VersionedTable(loaded["keys"].spark, loaded["keys"].path + "_matched")
+    before = VersionedTable(loaded["keys"].spark, loaded["keys"].path + "_before")
+    before.replace(loaded["gold"].read())
+    # All daily keys fit; only the matched ones do; not even those, by number or by bytes.
+    for keys, size, narrowed in ((10, 1 << 30, False), (2, 1 << 30, True), (1, 1 << 30, True), (10, 10, True)):
+        monkeypatch.setattr(jobs, "BROADCAST_KEYS", keys)
+        monkeypatch.setattr(jobs, "BROADCAST_BYTES", size)
+        loaded["gold"].replace(before.read())
+        assert content(merge(loaded)) == MERGED
+        assert jobs._few(loaded["keys"]) != narrowed
+        assert matched.exists() or not narrowed
+    assert sorted(row["ids"] for row in matched.read().collect()) == ["b", "b2"]
+
+
+def test_the_tolerant_write_does_not_sort(spark, tmp_path, lines, feature, collection, tables):
+    """Few outcomes keep their writers open together."""
+    from quakelake.operators import checked_rows, explode_raw_features, outcomes, with_derived
+    from quakelake.session import setting
+    from quakelake.sources import outcome_lines
+
+    rows = outcome_lines(outcomes(with_derived(checked_rows(explode_raw_features(lines(collection(feature())))))))
+    status = spark._jsparkSession.sharedState().statusStore()
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "4"):
+        rows.write.partitionBy("outcome").text(str(tmp_path / "out"))
+    executions = status.executionsList()
+    plan = executions.apply(executions.size() - 1).physicalPlanDescription()
+    assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort" not in plan.split("== Initial Plan ==")[0]

@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from quakelake.files import exists
 from quakelake.operators import analytics
-from quakelake.session import shared_dir, shuffle_partitions_for, sized_shuffles
-from quakelake.sources import EmptyBatchError, VersionedTable
+from quakelake.session import MOST_PARTITIONS, shared_dir, shuffle_partitions_for, sized_shuffles
+from quakelake.sources import CommitConflictError, EmptyBatchError, VersionedTable
 
 
 @pytest.fixture
@@ -65,6 +65,26 @@ def test_replaced_versions_are_dropped(spark, table):
     assert table.row_count() == 9
 
 
+def test_of_two_writers_of_a_version_the_second_fails(spark, table, monkeypatch):
+    table.replace(spark.range(3))
+    other = VersionedTable(spark, table.path)
+    stale = other._recent(1)
+    table.replace(spark.range(4))
+    real = VersionedTable._recent
+    monkeypatch.setattr(other, "_recent", lambda count: stale)
+    with pytest.raises(CommitConflictError):
+        other.replace(spark.range(5))
+    monkeypatch.setattr(other, "_recent", real.__get__(other))
+    assert values(other.read()) == [0, 1, 2, 3]
+
+
+def test_folders_of_failed_writes_are_removed(spark, table):
+    orphan = f"{table.path}/data/v000000001-dead"
+    spark.range(1).write.parquet(orphan)
+    table.replace(spark.range(3))
+    assert not exists(spark, orphan) and values(table.read()) == [0, 1, 2]
+
+
 def test_clustering_narrows_row_group_statistics(spark, table):
     """Rows are sorted inside each file, so a bound on the time can skip row groups."""
     rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("id"))
@@ -86,10 +106,15 @@ def test_shared_folder_is_the_named_one(spark):
 def test_shuffles_grow_with_the_input(spark, table):
     table.replace(spark.range(10))
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    with sized_shuffles(spark, table.location()):
+    with sized_shuffles(spark, 10):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    with sized_shuffles(spark, 100 << 30):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1200"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert shuffle_partitions_for(0, 4) == 4
-    assert shuffle_partitions_for(100 << 40, 200) == 3 * (100 << 40) // (256 << 20)
+    # 100 TB of gold, and the keys of 1 TB of daily: partitions grow in size, not without end in number.
+    assert shuffle_partitions_for(100 << 40, 200) == MOST_PARTITIONS
+    assert shuffle_partitions_for(1 << 35, 200) == 384
 
 
 def physical(rows):
@@ -108,5 +133,5 @@ def test_questions_read_only_what_they_need(spark, table):
     plan = physical(analytics.areas_over(gold))
     assert "GreaterThan(magnitude,5.0)" in plan and "Exchange" not in plan
     plan = physical(analytics.top_area_of_week(gold, "2024-01-27"))
-    assert "GreaterThanOrEqual(time,2024-01-20)" in plan
+    assert "GreaterThanOrEqual(time,2024-01-20)" in plan and "StringStartsWith(time,+)" in plan
     assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
