@@ -71,13 +71,16 @@ class _Words:
         self._old: dict[str, bytes] = {}
 
     def ids(self, words: list[str]) -> list[bytes]:
-        new = set(words).difference(self._young)
-        if new:
+        found = list(map(self._young.get, words))
+        if None in found:
+            new = {word for word, ids in zip(words, found) if ids is None}
             if len(self._young) > CACHE_WORDS:
                 self._old, self._young = self._young, {}
                 new = set(words)
             self._learn(new)
-        return list(map(self._young.__getitem__, words))
+            young = self._young
+            found = [young[word] if ids is None else ids for word, ids in zip(words, found)]
+        return found
 
     def _learn(self, words: set[str]) -> None:
         young, old = self._young, self._old
