@@ -34,6 +34,8 @@ CLASSIFIERS = 3
 # Features that are kept: those whose share differs between the samples by so many deviations.
 FEATURES = 2048
 LEAST_DEVIATIONS = 3.0
+# A feature that fewer toxic texts have says too little to be kept.
+LEAST_TOXIC = 5
 STEPS = 200
 STEP_SIZE = 0.1
 SHRINK = 1e-4
@@ -209,7 +211,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     share = (F.col("a") + F.col("b") + 1) / (n_toxic + n_rest + 2)
     spread = F.sqrt(share * (1 - share) * (1 / (n_toxic + 1) + 1 / (n_rest + 1)))
     gap = F.abs((F.col("a") + 0.5) / (n_toxic + 1) - (F.col("b") + 0.5) / (n_rest + 1)) / spread
-    best = counted.withColumn("gap", gap).where(F.col("gap") >= LEAST_DEVIATIONS)
+    best = counted.withColumn("gap", gap).where((F.col("gap") >= LEAST_DEVIATIONS) & (F.col("a") >= LEAST_TOXIC))
     best = best.orderBy(F.desc("gap"), "feature").limit(FEATURES)
     chosen = np.array(sorted(row["feature"] for row in best.select("feature").collect()), np.int32)
     if not len(chosen):
