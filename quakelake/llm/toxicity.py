@@ -31,14 +31,13 @@ TIMES = (1, 2, 4)
 TOXIC_SAMPLE = 6000
 UNLABELLED_SAMPLE = 12000
 CLASSIFIERS = 3
-# Features that are kept: those whose share differs between the samples by so many deviations.
+# Features that are kept: those whose share differs between the samples by so many deviations, which
+# are the root of the likelihood ratio: it holds for small counts too, so the rule is one for all sizes.
 FEATURES = 2048
-LEAST_DEVIATIONS = 3.0
-# A feature that fewer toxic texts have says too little to be kept.
-LEAST_TOXIC = 5
+LEAST_DEVIATIONS = 2.5
 STEPS = 200
 STEP_SIZE = 0.1
-SHRINK = 1e-4
+SHRINK = 1e-3
 FOLDS = 5
 HELD_OUT = 0
 _BYTES_AT_A_TIME = 1 << 20
@@ -179,6 +178,18 @@ def _trained(width: int, prior: float):
     return of_classifier
 
 
+def _deviations(a: Column, b: Column, n_toxic: int, n_rest: int) -> Column:
+    """Root of the likelihood-ratio statistic of a of n_toxic texts against b of n_rest."""
+
+    def cell(found: Column, of: int, both: Column) -> Column:
+        return F.when(found > 0, found * F.log(found * (n_toxic + n_rest) / (both * of))).otherwise(0.0)
+
+    have, lack = a + b, n_toxic + n_rest - a - b
+    cells = cell(a, n_toxic, have) + cell(b, n_rest, have)
+    cells = cells + cell(n_toxic - a, n_toxic, lack) + cell(n_rest - b, n_rest, lack)
+    return F.sqrt(F.greatest(2 * cells, F.lit(0.0)))
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Classifiers from the rows outside the held-out fold.
 
@@ -208,10 +219,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         return nothing
     counted = sample.select("toxic", F.explode("features").alias("feature")).groupBy("feature")
     counted = counted.agg(F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
-    share = (F.col("a") + F.col("b") + 1) / (n_toxic + n_rest + 2)
-    spread = F.sqrt(share * (1 - share) * (1 / (n_toxic + 1) + 1 / (n_rest + 1)))
-    gap = F.abs((F.col("a") + 0.5) / (n_toxic + 1) - (F.col("b") + 0.5) / (n_rest + 1)) / spread
-    best = counted.withColumn("gap", gap).where((F.col("gap") >= LEAST_DEVIATIONS) & (F.col("a") >= LEAST_TOXIC))
+    best = counted.withColumn("gap", _deviations(F.col("a"), F.col("b"), n_toxic, n_rest))
+    best = best.where(F.col("gap") >= LEAST_DEVIATIONS)
     best = best.orderBy(F.desc("gap"), "feature").limit(FEATURES)
     chosen = np.array(sorted(row["feature"] for row in best.select("feature").collect()), np.int32)
     if not len(chosen):

@@ -79,3 +79,25 @@ def test_features_do_not_depend_on_the_chunks(monkeypatch):
 @pytest.mark.parametrize("text", [b"", b" ", b"a", b"abc"])
 def test_short_texts_have_few_features(text):
     assert len(toxicity.features(text)) <= 1
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_labelled_toxic_texts_are_found_and_clean_ones_stay(spark, sf):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet") for name in ("documents", "labels"))
+    kept = {row["doc_id"] for row in toxicity.drop_toxic(docs, labels).select("doc_id").collect()}
+    ids = {row["doc_id"] for row in docs.select("doc_id").collect()}
+    toxic, clean = ([row["doc_id"] for row in labels.where(f"toxic = {t}").collect() if row["doc_id"] in ids] for t in (1, 0))
+    assert len(kept) < len(ids)
+    assert sum(i not in kept for i in toxic) >= 0.9 * len(toxic) > 0
+    assert sum(i in kept for i in clean) >= 0.95 * len(clean) > 0
+
+
+def test_a_feature_of_three_toxic_texts_is_learnt(spark, docs):
+    rows, labels = made(300, seed=2)
+    clean = [row for row in rows if row[0] % 3]
+    marked = [(i, f"{clean[i % 90][1]} vvqqvvqq vvqqvvqq {clean[i % 70][1]}") for i in range(1000, 1008)]
+    labels = [row for row in labels if row[0] % 3]
+    labels += [(i, 1, 1) for i, _ in [row for row in marked if zlib.crc32(str(row[0]).encode()) % 5][:3]]
+    found = toxicity.score(docs(*clean, *marked), spark.createDataFrame(labels, "doc_id LONG, quality INT, toxic INT"))
+    scores = {row["doc_id"]: row["score"] for row in found.collect()}
+    assert min(scores[i] for i, _ in marked) > max(scores[i] for i, _ in clean)
