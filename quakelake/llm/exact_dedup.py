@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quakelake.llm.quotient import CountingQuotientFilter
-from quakelake.llm.support import numbered, pick, text_of, with_membership, without
+from quakelake.llm.support import numbered, one_of_each, pick, stored, text_of, with_membership, without
 
 # Fingerprints that a task holds before it passes its filters on, and that a range should hold.
 FILTER_KEYS = 1 << 20
@@ -84,13 +84,12 @@ def suspects(fingerprints: DataFrame) -> DataFrame:
     return filters.groupBy("range").applyInArrow(_suspects_of(bits), "fp LONG")
 
 
-def _groups(rows: DataFrame) -> DataFrame:
+def _groups(rows: DataFrame, repeated: DataFrame) -> DataFrame:
     """(fp, sha, keep_id, group_size) of each text that more than one of the rows has.
 
     The rows have fp, sha, text and doc_id. Texts are compared byte by byte, as grouping keys;
-    copies combine before the shuffle. Two texts of one digest would fail the job.
+    copies combine before the shuffle.
     """
-    repeated = suspects(rows.select("fp"))
     maybe = with_membership(rows, F.col("fp"), repeated, F.col("fp"), "suspect").where("suspect")
     same_bytes = maybe.groupBy("fp", "sha", "text").agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
@@ -111,8 +110,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     kept. A null doc_id is smaller than any other. An empty table gives no rows.
     """
     rows = _fingerprinted(pick(docs, "doc_id", "text"), "text").withColumn("text", text_of())
-    groups = _groups(rows)
-    narrow = rows.select("doc_id", "fp", "sha")
+    narrow = stored(rows.select("doc_id", "fp", "sha"), "exact-signed")
+    groups = _groups(rows, suspects(narrow.select("fp")))
     joined = narrow.join(groups, ["fp", "sha"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(
@@ -125,10 +124,18 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The kept rows of ``docs``, all columns. Rows whose text is no copy are not shuffled."""
+    """One row of each text, all columns: one with the largest doc_id.
+
+    Rows that repeat that doc_id are one document and one of them stays, the smallest by its columns.
+    Rows whose text is no copy are not shuffled.
+    """
     rows, at = numbered(docs)
-    key, text = F.col(at["doc_id"]), text_of(at["text"])
-    marked = exact_groups(docs).where(~F.col("kept"))
-    dropped = marked.select("doc_id", F.unhex("text_sha256").alias("sha")).distinct()
-    kept = without(rows, dropped, doc_id=key, sha=F.unhex(F.sha2(text, 256)))
+    marked = exact_groups(docs).where("group_size > 1").select("doc_id", F.unhex("text_sha256").alias("sha"), "kept")
+    marked = stored(marked.groupBy("doc_id", "sha", "kept").agg(F.count("*").alias("n")), "exact-marked")
+    repeated = stored(marked.where("kept and n > 1").select("doc_id", "sha"), "exact-repeated")
+    dropped = marked.where(~F.col("kept")).select("doc_id", "sha").unionByName(repeated)
+    on = {"doc_id": F.col(at["doc_id"]), "sha": F.unhex(F.sha2(text_of(at["text"]), 256))}
+    kept = without(rows, dropped, **on)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(one_of_each(rows, repeated, **on))
     return kept.toDF(*docs.columns)

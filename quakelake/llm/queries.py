@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakelake.llm import chat, exact_dedup, langid, mixing, oracle, packing, sharding, simhash, token_files, topk, toxicity
+from quakelake.llm import (
+    chat,
+    exact_dedup,
+    langid,
+    mixing,
+    oracle,
+    packing,
+    resampling,
+    sharding,
+    simhash,
+    spelling,
+    suffix_dedup,
+    token_files,
+    topk,
+    toxicity,
+)
 from quakelake.llm.support import pick, run_folder, ship, table
 
 
@@ -83,6 +98,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -100,6 +127,9 @@ _QUERIES = (
     op8_sharding,
     op9_token_files,
     op10_packing,
+    op11_spelling_variants,
+    op12_importance_resampling,
+    op13_suffix_dedup,
 )
 
 

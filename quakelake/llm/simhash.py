@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quakelake.llm.components import connected
-from quakelake.llm.support import numbered, pick, slices, stored, text_of, texts_of, without
+from quakelake.llm.support import numbered, one_of_each, pick, slices, stored, text_of, texts_of, without
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -197,9 +197,9 @@ def links(nodes: DataFrame, bits: int = MAX_BITS, blocks: int | None = None) ->
 
 
 def near_groups(docs: DataFrame, bits: int = MAX_BITS, blocks: int | None = None) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id) of every row.
+    """(doc_id, text_hash, fp, root, component_id) of every row.
 
-    component_id is the smallest doc_id that links reach, the row's own included. Null and empty
+    ``root`` is a fingerprint that names the component, and component_id is the smallest doc_id that links reach, the row's own included. Null and empty
     texts, and texts of white space, have fingerprint zero and are linked like any other. Rows of
     equal fingerprint are one node, so copies make no links. A null doc_id is never the smallest
     unless the component has no other. An empty table gives no rows.
@@ -212,19 +212,28 @@ def near_groups(docs: DataFrame, bits: int = MAX_BITS, blocks: int | None = None
     )
     rooted = stored(rooted, "simhash-rooted")
     least = stored(rooted.groupBy("root").agg(F.min("least_doc").alias("component_id")), "simhash-least")
-    named = stored(rooted.join(least, "root").select("fp", "component_id"), "simhash-named")
-    return signed.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    named = stored(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-named")
+    return signed.join(named, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs``, all columns, that have the smallest doc_id of their component.
+    """One row of each component, all columns: one with its smallest doc_id.
 
-    Rows that repeat that doc_id stay with it. Rows that stay for sure are not shuffled.
+    Of rows that repeat that doc_id one stays: of different texts that of the smallest hash, of equal
+    texts the smallest by its columns. Rows that stay for sure are not shuffled.
     """
     rows, at = numbered(docs)
-    found = near_groups(docs, bits)
-    dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    dropped = stored(dropped.select("doc_id", "text_hash").distinct(), "simhash-dropped")
-    own_hash = F.xxhash64(text_of(at["text"]))
-    kept = without(rows, dropped, doc_id=F.col(at["doc_id"]).cast("long"), text_hash=own_hash)
+    found = near_groups(docs, bits).groupBy("root", "component_id", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    found = stored(found, "simhash-found")
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = found.where(least).groupBy("root").agg(F.min(F.struct("text_hash", "doc_id", "n")).alias("kept"))
+    kept = stored(kept.select("root", F.col("kept.text_hash").alias("kept_hash"), "kept.doc_id", "kept.n"), "simhash-kept")
+    repeated = stored(kept.where("n > 1").select("doc_id", F.col("kept_hash").alias("text_hash")), "simhash-repeated")
+    others = found.join(kept.select("root", "kept_hash"), "root").where(~least | (F.col("text_hash") != F.col("kept_hash")))
+    dropped = others.select("doc_id", "text_hash").unionByName(repeated)
+    dropped = stored(dropped.distinct(), "simhash-dropped")
+    on = {"doc_id": F.col(at["doc_id"]).cast("long"), "text_hash": F.xxhash64(text_of(at["text"]))}
+    kept = without(rows, dropped, **on)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(one_of_each(rows, repeated, **on))
     return kept.toDF(*docs.columns)

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quakelake.files import delete_folder
 from quakelake.session import shared_dir
 
 # Blank and the control characters 9 to 13 part words; everything else belongs to one.
@@ -80,6 +81,14 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more."""
+    for rows in tables:
+        spark = rows.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in rows.inputFiles()}:
+            delete_folder(spark, folder)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in small parts, so that a task never holds a whole batch a second time."""
     for batch in batches:
@@ -142,3 +151,25 @@ def without(rows: DataFrame, dropped: DataFrame, **on: Column) -> DataFrame:
         match = same if match is None else match & same
     rest = unsure.join(right, match, "left_anti").drop(*(f"_on_{name}" for name in on))
     return kept.unionByName(rest)
+
+
+def one_of_each(rows: DataFrame, wanted: DataFrame, **on: Column) -> DataFrame:
+    """Of the rows that match each row of ``wanted``, whose columns are the names of ``on``, one.
+
+    The smallest by the columns that have an order stays. Rows combine before their shuffle, so it
+    does not matter how often one is repeated.
+    """
+    member = F.struct(*(F.col(name) for name in on))
+    marked = with_membership(rows, F.struct(*on.values()), wanted, member, "_perhaps").where("_perhaps")
+    marked = marked.select(F.struct(*rows.columns).alias("_row"), *(value.alias(f"_on_{name}") for name, value in on.items()))
+    ordered = [
+        F.col("_row")[field.name] for field in rows.schema if field.dataType.typeName() not in ("map", "variant")
+    ]
+    keys = [f"_on_{name}" for name in on]
+    once = marked.groupBy(*keys).agg(F.min_by("_row", F.struct(*ordered)).alias("_row"))
+    right = wanted.select(*(F.col(name).alias(f"_wanted_{name}") for name in on))
+    match = None
+    for name in on:
+        same = F.col(f"_on_{name}").eqNullSafe(F.col(f"_wanted_{name}"))
+        match = same if match is None else match & same
+    return once.join(right, match, "left_semi").select("_row.*")

@@ -62,7 +62,7 @@ def test_dropping_keeps_all_columns_and_one_row_of_each_text(docs, clashing):
     kept = exact_dedup.drop_copies(rows)
     assert kept.columns == rows.columns
     found = sorted((tuple(row[:2]) for row in kept.collect()), key=repr)
-    wanted = [(i, t) for (i, t), (_, _, _, keeps, _) in zip(CASES, map(of_row, CASES)) if keeps]
+    wanted = {(i, t) for (i, t), (_, _, _, keeps, _) in zip(CASES, map(of_row, CASES)) if keeps}
     assert found == sorted(wanted, key=repr)
 
 
@@ -70,6 +70,17 @@ def of_row(row):
     return next(e for e in expected(CASES) if e[0] == row[0] and e[4] == hashlib.sha256((row[1] or "").encode()).hexdigest())
 
 
+def test_a_table_that_was_loaded_twice_loses_its_second_rows(docs, clashing):
+    once = clashing(docs(*CASES))
+    rows = [tuple(row) for row in exact_dedup.drop_copies(once.union(once)).collect()]
+    assert sorted(rows, key=repr) == sorted((tuple(row) for row in exact_dedup.drop_copies(once).collect()), key=repr)
+
+
+def test_of_rows_that_differ_elsewhere_the_smallest_stays(docs, rows_of):
+    rows = docs((1, "a", "fr", "x"), (1, "a", "en", "y"), (1, "b", "en", "z"))
+    assert [row[:3] for row in rows_of(exact_dedup.drop_copies(rows))] == [(1, "a", "en"), (1, "b", "en")]
+
+
 def test_a_document_id_with_two_texts_loses_only_the_copy(docs, rows_of):
     rows = docs((1, "a"), (1, "b"), (2, "a"))
     assert rows_of(exact_dedup.drop_copies(rows).select("doc_id", "text")) == [(1, "b"), (2, "a")]

@@ -113,3 +113,15 @@ def test_a_document_id_with_two_texts_loses_only_the_copy(docs, rows_of):
     rows = docs((0, "a b c d"), (1, "a b c d"), (1, "another text altogether here"))
     kept = simhash.drop_near_copies(rows).select("doc_id", "text")
     assert rows_of(kept) == [(0, "a b c d"), (1, "another text altogether here")]
+
+
+def test_a_table_that_was_loaded_twice_keeps_one_row_of_each_group(docs, clashing):
+    once = clashing(docs(*enumerate(texts()), (None, "no id here"), (None, "nor here, and other words")))
+    kept = [sorted(map(repr, simhash.drop_near_copies(rows).collect())) for rows in (once, once.union(once))]
+    assert kept[0] == kept[1]
+    assert sum("doc_id=None" in row for row in kept[0]) == 2
+
+
+def test_of_near_texts_of_one_document_id_one_stays(docs):
+    rows = docs((1, "A b c d e"), (1, "a b c d e"), (1, "other words of this document"))
+    assert simhash.drop_near_copies(rows).count() == 2
