@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 import sys
 import threading
 import uuid
@@ -67,8 +66,10 @@ from quakelake.sources import (  # noqa: E402
 )
 
 # The operators on training data are a package of their own, which may be left out.
-_found = importlib.util.find_spec("quakelake.llm")
-training_data = importlib.import_module("quakelake.llm.queries") if _found and _found.origin else None
+try:
+    training_data = importlib.import_module("quakelake.llm.queries")
+except ImportError:
+    training_data = None
 
 RUN_DATE = "2024-01-30"
 STAMP = "20240130"

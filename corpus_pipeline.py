@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quakelake.llm import exact_dedup, mixing, near_copies, packing, toxicity
+from quakelake.llm import exact_dedup, mixing, packing, simhash, toxicity
 from quakelake.llm.support import ship, stored, table
 
 
@@ -19,8 +19,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, by five-word shingles, the document with the smallest doc_id."""
-    return near_copies.drop_near_copies(docs)
+    """Of each group that close fingerprints link, the document with the smallest doc_id."""
+    return simhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
