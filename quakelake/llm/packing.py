@@ -3,8 +3,8 @@
 A document is cut into full windows and a rest. The rest goes where it makes the sum of squared
 counts of partly filled windows, counted by fill level, smallest: into a window of some level, or
 into a new one. Counts by level are an array, so a choice costs one look at the levels. Each task
-packs its own documents: nothing is shuffled. Windows left over at a task's end fill each other up,
-so a task leaves at most one window with room.
+packs its own documents: nothing is shuffled. Windows left over at a task's end, and whenever many
+are open, fill each other up: all but one of them get full.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ WINDOW = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 _BYTES = 4
+# Open windows that a task holds, 32 MB of ids at most.
+MOST_OPEN = 4096
 # Pieces handed on at a time.
 _BATCH_BYTES = 8 << 20
 
@@ -74,6 +76,8 @@ class Packer:
             else:
                 self.counts[level + rest] += 1
                 self._open.setdefault(level + rest, []).append(pieces)
+                if self.counts.sum() > MOST_OPEN:
+                    done += self.close()
         return done
 
     def close(self) -> list[list[Piece]]:
@@ -101,7 +105,8 @@ class Packer:
 
 def _pack(path: str | None, name: str, window: int, end_id: int):
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path or tokenizer_path(name)).encode
+        own = encoder(path or tokenizer_path(name))
+        encode = own.encode
         end = end_id.to_bytes(_BYTES, "little")
         packer = Packer(window)
         next_id = TaskContext.get().partitionId() << 32
@@ -134,6 +139,7 @@ def _pack(path: str | None, name: str, window: int, end_id: int):
                 if size >= _BATCH_BYTES:
                     yield passed_on()
         take(packer.close())
+        own.rest()
         if rows:
             yield passed_on()
 

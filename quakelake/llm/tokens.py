@@ -17,8 +17,10 @@ import re
 import struct
 from functools import lru_cache
 
-# Words of one of the two generations of a cache.
+# Words of one of the two generations of a cache, and the longest word that one holds: a cache has
+# a bound in bytes, whatever the texts.
 CACHE_WORDS = 3 << 17
+LONGEST_WORD = 64
 _STOPS = ".,;:!?"
 _LETTER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]")
 _PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -77,11 +79,17 @@ class _Words:
             if len(self._young) > CACHE_WORDS:
                 self._old, self._young = self._young, {}
                 new = set(words)
-            self._learn(new)
+            long = [word for word in new if len(word) > LONGEST_WORD]
+            self._learn(new.difference(long))
             young = self._young
-            found = [young[word] if ids is None else ids for word, ids in zip(words, found)]
+            once = dict(zip(long, self._encode([self._lead + word for word in long]))) if long else young
+            found = [young.get(word) or once[word] if ids is None else ids for word, ids in zip(words, found)]
         return found
 
+    def rest(self) -> None:
+        """Forget the older generation, while no task runs."""
+        self._old = {}
+
     def _learn(self, words: set[str]) -> None:
         young, old = self._young, self._old
         missing, ended = [], []
@@ -128,6 +136,11 @@ class Encoder:
         found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (each.ids for each in found)]
 
+    def rest(self) -> None:
+        """Give up memory at the end of a task: its worker may go on with other work."""
+        self._bare.rest()
+        self._spaced.rest()
+
     def whole(self, text: str) -> bytes:
         """The ids of a text encoded in one piece."""
         return self._encode([text])[0]

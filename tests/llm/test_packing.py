@@ -117,3 +117,28 @@ def test_an_empty_table(docs):
 def test_crc_is_that_of_the_ids(docs):
     row = packing.pack(docs((1, "one two"))).withColumn("crc", F.crc32("ids")).first()
     assert row["crc"] == zlib.crc32(row["ids"])
+
+
+def test_open_windows_are_bounded(monkeypatch):
+    """Documents of more than half a window, none of which fit together, fill each other up."""
+    from quakelake.llm import packing
+
+    monkeypatch.setattr(packing, "MOST_OPEN", 50)
+    packer, done = packing.Packer(100), []
+    for doc_id in range(1000):
+        done += packer.add(doc_id, bytes([doc_id % 251]) * 4 * 60)
+        assert packer.counts.sum() <= 50
+    done += packer.close()
+    fills = [sum(len(ids) // 4 for _, _, _, ids in pieces) for pieces in done]
+    assert sum(fills) == 60_000 and sum(fill < 100 for fill in fills) <= 1000 // 50 + 1
+    assert len(done) <= 60_000 // 100 + 1000 // 50 + 1
+
+
+def test_long_words_are_not_kept(encoders):
+    """Unspaced texts do not fill the cache."""
+    for encoder in encoders.values() if isinstance(encoders, dict) else encoders:
+        words = ["".join(chr(97 + (i * j) % 26) for j in range(200)) + str(i) for i in range(50)]
+        text = " ".join(words)
+        assert encoder.encode(text) == encoder.whole(text)
+        kept = {word for cache in (encoder._bare, encoder._spaced) for word in (*cache._young, *cache._old)}
+        assert not kept & set(words) and max(map(len, kept)) <= 64
