@@ -41,12 +41,14 @@ from quakelake.operators import (  # noqa: E402
     with_text_times,
 )
 from quakelake.plans import (  # noqa: E402
+    gold_since_week,
     kept_rows,
     load_daily,
     load_historic,
     load_tolerant,
     merge_gold,
     set_aside,
+    stamp,
     with_load_time,
 )
 from quakelake.session import pin_utc, shared_dir  # noqa: E402
@@ -60,6 +62,7 @@ from quakelake.sources import (  # noqa: E402
     read_silver,
     scan_documents,
     scan_lines,
+    scan_payloads,
     scan_text,
     with_position,
     write_lines,
@@ -132,7 +135,8 @@ class Lake:
         gold = self.table("gold")
 
         def build() -> None:
-            gold.replace(self.historic().read())
+            history = self.historic().read().drop("insert_dt")
+            gold.replace(history, stamps=stamp(), index_by=("ids", "time"))
             merge_gold(gold, self.daily(), self.table("daily_keys"))
 
         self._once("merged", build)
@@ -200,8 +204,8 @@ def _silver_typed(lake: Lake) -> DataFrame:
     return strict_rows(explode_raw_features(lake.lines("daily")))
 
 
-def _tolerant(lake: Lake) -> DataFrame:
-    return tolerant_rows(explode_raw_features(lake.lines("tolerant")))
+def _tolerant(lake: Lake, *columns: str) -> DataFrame:
+    return tolerant_rows(explode_raw_features(lake.lines("tolerant")), columns or None)
 
 
 def _silver_rejects(lake: Lake) -> DataFrame:
@@ -229,7 +233,7 @@ def _plain_rejects(lake: Lake) -> DataFrame:
 
 
 def _times_utc_fallback(lake: Lake) -> DataFrame:
-    return _tolerant(lake).select(
+    return _tolerant(lake, "code", "time", "updated").select(
         "code",
         millis_to_text_or_raw(F.col("time")).alias("time"),
         millis_to_text_or_raw(F.col("updated")).alias("updated"),
@@ -237,7 +241,7 @@ def _times_utc_fallback(lake: Lake) -> DataFrame:
 
 
 def _area_loose(lake: Lake) -> DataFrame:
-    return _tolerant(lake).select("code", "place", loose_area(F.col("place")).alias("area"))
+    return _tolerant(lake, "code", "place").select("code", "place", loose_area(F.col("place")).alias("area"))
 
 
 def _sides(lake: Lake) -> tuple[DataFrame, DataFrame]:
@@ -293,18 +297,20 @@ def _json_round_trip(lake: Lake) -> DataFrame:
     return lake.spark.read.schema(rows.schema).json(path)
 
 
-def _texts_hash(texts: DataFrame) -> Row:
-    """A hash of the texts in any order, each counted."""
-    ending = F.regexp_replace("value", "\\n$", "")
-    return texts.agg(F.sum(F.xxhash64(ending) % 1_000_003), F.count("*")).first()
+def _payload_hash(payloads: DataFrame) -> Row:
+    """A hash of names and bytes of files, in any order, each counted."""
+    name = F.substring_index("path", "/", -1)
+    return payloads.agg(F.sum(F.xxhash64(name, F.sha2("content", 256)) % 1_000_003), F.count("*")).first()
 
 
 def _bronze_landing(lake: Lake) -> DataFrame:
-    """Features of the landed texts, and whether these are the texts of the source files."""
-    path = f"{lake.root}/landing"
-    land_payloads(lake.spark, lake.payloads("history"), path, RUN_DATE)
+    """Features of the landed files, and whether these have the names and bytes of the source files."""
+    path, source = f"{lake.root}/landing", lake.payloads("history")
+    land_payloads(lake.spark, source, path, RUN_DATE)
+    same = _payload_hash(scan_payloads(lake.spark, f"{path}/ingest_date={STAMP}")) == _payload_hash(
+        scan_payloads(lake.spark, source)
+    )
     landed = lake.spark.read.schema("value STRING, ingest_date STRING").text(path, wholetext=True)
-    same = _texts_hash(landed) == _texts_hash(scan_documents(lake.spark, lake.payloads("history")))
     features = explode_features(landed).where(F.col("problem").isNull())
     return features.agg(F.count("*").alias("n_features")).select(
         F.lit(STAMP).alias("ingest_date"), "n_features", F.lit(same).alias("same_texts")
@@ -324,6 +330,12 @@ def _gold_replace(lake: Lake) -> DataFrame:
     return table.read().drop("insert_dt")
 
 
+def _top_area_since(lake: Lake) -> DataFrame:
+    """Files of gold whose times are all older are not opened."""
+    lake.merged()
+    return analytics.top_area_of_week(gold_since_week(lake.table("gold"), AS_OF), AS_OF)
+
+
 def _job_historic_daily_merge(lake: Lake) -> DataFrame:
     run = "jobs/plain"
     tables = {
@@ -452,7 +464,7 @@ _QUERIES: dict[str, tuple[Callable[[Lake], DataFrame], str]] = {
                   count(*) / 2 AS avg_earthquakes FROM gold GROUP BY 1, 2""",
     ),
     "q_top_area_since": (
-        lambda lake: analytics.top_area_of_week(lake.merged(), AS_OF),
+        _top_area_since,
         f"""SELECT area FROM gold
             WHERE CAST(CAST(time AS TIMESTAMP) AS DATE) >= DATE '{AS_OF}' - 7
             ORDER BY magnitude DESC NULLS LAST, ids NULLS FIRST, area NULLS FIRST LIMIT 1""",

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from quakelake.operators import analytics
-from quakelake.plans import load_daily, load_historic, load_tolerant, merge_gold
+from quakelake.plans import gold_since_week, load_daily, load_historic, load_tolerant, merge_gold
 from quakelake.session import build_session, pin_utc
 from quakelake.sources import (
     VersionedTable,
@@ -100,7 +100,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif args.command == "merge":
         merge_gold(table("gold"), table("gold_daily"), table("daily_keys"), ordered=args.ordered)
     else:
-        answer = _answer(args, table("gold").read())
+        gold = table("gold")
+        rows = gold_since_week(gold, args.as_of) if args.question == "top-area-of-week" else gold.read()
+        answer = _answer(args, rows)
         if args.out:
             answer.write.mode("overwrite").parquet(args.out)
         else:

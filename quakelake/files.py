@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -36,9 +39,7 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in file_system.listStatus(hadoop_path))
 
 
-def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; fails if it is there already."""
-    file_system, hadoop_path = _resolve(spark, path)
+def _write(file_system, hadoop_path, text: str) -> None:
     out = file_system.create(hadoop_path, False)
     try:
         out.write(bytearray(text.encode()))
@@ -46,6 +47,42 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def _rename_new(spark: SparkSession, source, target) -> None:
+    """Rename, unless the target is there: one step of the file system that holds them."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    context = jvm.FileContext.getFileContext(source.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    never_over = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 0)
+    context.rename(source, target, never_over)
+
+
+def _link_new(source, target) -> None:
+    """The same for local files, where renaming would replace the target."""
+    os.link(source.toUri().getPath(), target.toUri().getPath())
+
+
+def publish_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file, whole or not at all; False if it is there already.
+
+    The text is written beside and then named. A writer that dies before leaves no file of that name.
+    """
+    file_system, target = _resolve(spark, path)
+    source = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    source = file_system.makeQualified(source)
+    _write(file_system, source, text)
+    try:
+        if file_system.getUri().getScheme() == "file":
+            _link_new(source, target)
+        else:
+            _rename_new(spark, source, file_system.makeQualified(target))
+    except Exception:
+        if file_system.exists(target):
+            return False
+        raise
+    finally:
+        file_system.delete(source, False)
+    return True
+
+
 def read_small(spark: SparkSession, path: str) -> str:
     file_system, hadoop_path = _resolve(spark, path)
     stream = file_system.open(hadoop_path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +76,7 @@ def _complaint(name: str, path: str, rule: Rule) -> Column:
 def _not_object(path: str, required: str, message: str) -> Column:
     """``message`` when no object is at ``path``; ``required`` is a field that must be inside it."""
     is_object = F.coalesce(F.schema_of_variant(_node(path)).startswith("OBJECT"), F.lit(False))
-    return F.when(F.col(required).isNull() & ~is_object, message)
+    return F.when(F.when(F.col(required).isNull(), ~is_object), message)
 
 
 # What integers of each type hold; doubles between these bounds turn into them unharmed.
@@ -125,29 +127,39 @@ def lost_fields(rules: list[tuple[str, str, Rule]]) -> Column:
     kept = [(name, path) for name, path, rule in rules if rule.kept and rule.type != "string"]
 
     def lost(name: str, path: str) -> Column:
+        # Nested, so that only a null value has its JSON looked up.
         node = _node(path)
-        return F.when(F.col(name).isNull() & node.isNotNull() & ~F.is_variant_null(node), F.lit(name))
+        there = F.when(F.col(name).isNull(), F.when(node.isNotNull(), ~F.is_variant_null(node)))
+        return F.when(there, F.lit(name))
 
     names = F.concat_ws(", ", *(lost(*field) for field in kept))
     return F.when(names != "", F.concat(F.lit("lost "), names))
 
 
-def _checked(features: DataFrame, mode: str) -> DataFrame:
-    """All thirty fields, ``reason`` (the first broken rule in field order), ``lost``, and ``raw``
-    of features with either."""
+def _checked(features: DataFrame, mode: str, wanted: Sequence[str] | None = None) -> DataFrame:
+    """The wanted fields, all thirty by default, ``reason`` (the first broken rule in field order),
+    ``lost``, and ``raw`` of features with either.
+
+    Of a feature only the wanted fields and those that a rule checks are read. With fields named,
+    ``lost`` is not looked for.
+    """
     rules = [(f.name, f.path, getattr(f, mode)) for f in FIELDS]
-    typed = typed_fields(features, rules)
+    names = [f.name for f in FIELDS] if wanted is None else list(wanted)
     checks = [r for r in rules if r[2].need != "optional" or (r[2].type != "string" and not r[2].kept)]
+    read = [r for r in rules if r in checks or r[0] in names]
+    typed = typed_fields(features, read)
     reason = F.coalesce(
         F.col("problem"),
         _not_object("$", "id", "feature is not an object"),
         _not_object("$.properties", "status", "properties is not an object"),
         *[_complaint(*r) for r in checks],
     )
-    filled = [_filled(*r).alias(r[0]) for r in rules]
-    lost = lost_fields(rules) if mode == "tolerant" else F.lit(None).cast("string")
+    rule_of = {r[0]: r for r in read}
+    filled = [_filled(*rule_of[name]).alias(name) for name in names]
+    look = mode == "tolerant" and wanted is None
+    lost = lost_fields(rules) if look else F.lit(None).cast("string")
     checked = typed.select(*filled, _FEATURE, "raw", reason.alias("reason"), lost.alias("lost"))
-    return with_raw(checked, [f.name for f in FIELDS])
+    return with_raw(checked, names)
 
 
 def with_raw(checked: DataFrame, columns: list[str]) -> DataFrame:
@@ -203,10 +215,11 @@ def checked_rows(features: DataFrame) -> DataFrame:
     return _checked(features, "tolerant")
 
 
-def tolerant_rows(features: DataFrame) -> DataFrame:
-    """The thirty tolerant fields of the features that pass."""
+def tolerant_rows(features: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The thirty tolerant fields, or those named, of the features that pass."""
     passes = F.col("reason").isNull()
-    return _rows_where(checked_rows(features), passes, [f.name for f in FIELDS])
+    names = [f.name for f in FIELDS] if columns is None else list(columns)
+    return _rows_where(_checked(features, "tolerant", columns), passes, names)
 
 
 def rejected_rows(features: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakelake.files import stored_bytes
-from quakelake.functions.times import load_time, load_time_text
+from quakelake.functions.times import load_time, load_time_text, week_before
 from quakelake.operators.checked import (
     KEPT,
     OUTCOME,
@@ -16,7 +18,7 @@ from quakelake.operators.checked import (
     with_derived,
 )
 from quakelake.operators.flatten import plain_outcomes
-from quakelake.operators.merge import distinct_keys, matched_keys, ordered_by_key, upsert
+from quakelake.operators.merge import KEY, distinct_keys, matched_keys, ordered_by_key, upsert
 from quakelake.schema import REJECTS
 from quakelake.session import MIB, sized_shuffles
 from quakelake.sources.silver_lines import outcome_lines, read_silver, silver_lines
@@ -25,6 +27,8 @@ from quakelake.sources.tables import POSITION, EmptyBatchError, VersionedTable,
 # Gold questions about recent days skip row groups by the event time.
 GOLD_CLUSTER = ("time",)
 LOAD_TIME = "insert_dt"
+# Bounds of these are known for each file of gold: by key for the merge, by time for recent days.
+GOLD_INDEX = (KEY, "time")
 # Keys within both bounds go to every executor: some hundred MB there, against a shuffle of gold.
 # The bytes are those of the stored, compressed keys.
 BROADCAST_KEYS = 4_000_000
@@ -36,6 +40,22 @@ def with_load_time(rows: DataFrame, at: str | None = None) -> DataFrame:
     return rows.withColumn(LOAD_TIME, load_time(at))
 
 
+def stamp(at: str | None = None) -> dict[str, tuple[str, str]]:
+    """The load timestamp as a stamp of the table: all rows have it, and none is rewritten for it."""
+    return {LOAD_TIME: ("timestamp", at or dt.datetime.now(dt.timezone.utc).isoformat())}
+
+
+def gold_since_week(gold: VersionedTable, as_of: dt.date | str | None = None) -> DataFrame:
+    """The rows of the files of gold that may hold events since seven days before ``as_of``.
+
+    The bounds of the time tell; years beyond 9999 start with a plus sign, which sorts first.
+    """
+    if not gold.is_indexed():
+        return gold.read()
+    late = (F.col("time_max") >= week_before(as_of)) | F.col("time_min").startswith("+")
+    return gold.read_files(gold.files_where(late))
+
+
 def kept_rows(silver: VersionedTable) -> DataFrame:
     """Plain silver: the 31 columns of the kept features."""
     rows = silver.read()
@@ -55,7 +75,7 @@ def load_historic(
     One pass writes kept rows and, beside them, what was rejected or lost.
     """
     silver.replace(plain_outcomes(lines))
-    return gold.replace(with_load_time(kept_rows(silver), at), cluster_by=GOLD_CLUSTER)
+    return gold.replace(kept_rows(silver), cluster_by=GOLD_CLUSTER, stamps=stamp(at), index_by=GOLD_INDEX)
 
 
 def load_daily(
@@ -84,12 +104,17 @@ def merge_gold(
 ) -> DataFrame:
     """Upsert the daily batch into gold, stamping every row with this load's time.
 
-    The distinct daily keys are stored first, so their size is known before the join is planned:
+    Only files of gold that hold a key of the batch are rewritten, without the rows it replaces; the
+    batch itself is added in new files, all others stay, and the load time is a stamp of the commit.
+    So the work follows the batch and what it touches, not gold.
+
+    The distinct daily keys are stored first, so their size is known before a join is planned:
     few keys are broadcast and gold is not shuffled. Of more keys, those that gold has are stored
     instead, found by reading its key column alone: only they remove rows, and most daily keys are
     new. If even they are many, both sides are shuffled by key and adaptive execution splits hot
     keys. Each shuffle is sized by what it moves. The content is the same each way.
-    ``ordered`` adds a total sort by key, which no reader here needs.
+    ``ordered`` writes all of gold anew in a total order by key, which makes the bounds of its files
+    narrow. So does the first merge into a table that has no index.
     """
     if gold_daily.row_count() == 0 and not allow_empty:
         raise EmptyBatchError("refusing to merge an empty daily batch")
@@ -101,15 +126,19 @@ def merge_gold(
         keys = matched
     few = _few(keys)
     known = F.broadcast(keys.read()) if few else keys.read()
-    moved = 0 if few and not ordered else stored_bytes(gold.spark, gold.location())
-    with sized_shuffles(gold.spark, moved):
-        history, daily = gold.read(), gold_daily.read()
-        if not ordered:
-            merged = with_load_time(upsert(history, daily, known), at)
-            return gold.replace(merged, cluster_by=GOLD_CLUSTER, allow_empty=allow_empty)
-        history, daily = with_position(history), with_position(daily)
-        merged = ordered_by_key(upsert(history, daily, known), *POSITION).drop(*POSITION)
-        return gold.replace(with_load_time(merged, at), allow_empty=allow_empty)
+    daily = gold_daily.read().drop(LOAD_TIME)
+    with sized_shuffles(gold.spark, 0 if few and not ordered else gold.stored_bytes()):
+        if gold.is_indexed() and not ordered:
+            touched = gold.files_with(KEY, known, keys.row_count())
+            history = gold.read_files(touched).drop(LOAD_TIME)
+            return gold.rewrite(touched, upsert(history, daily, known), cluster_by=GOLD_CLUSTER, stamps=stamp(at))
+        history = gold.read().drop(LOAD_TIME)
+        if ordered:
+            history, daily = with_position(history), with_position(daily)
+            merged, cluster = ordered_by_key(upsert(history, daily, known), *POSITION).drop(*POSITION), ()
+        else:
+            merged, cluster = upsert(history, daily, known), GOLD_CLUSTER
+        return gold.replace(merged, cluster_by=cluster, allow_empty=allow_empty, stamps=stamp(at), index_by=GOLD_INDEX)
 
 
 def load_tolerant(

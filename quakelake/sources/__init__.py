@@ -1,8 +1,10 @@
 from quakelake.sources.bronze import (
+    SameNameError,
     land_documents,
     land_payloads,
     scan_documents,
     scan_lines,
+    scan_payloads,
     scan_text,
 )
 from quakelake.sources.silver_lines import (
@@ -25,6 +27,7 @@ __all__ = [
     "POSITION",
     "CommitConflictError",
     "EmptyBatchError",
+    "SameNameError",
     "VersionedTable",
     "land_documents",
     "land_payloads",
@@ -34,6 +37,7 @@ __all__ = [
     "read_silver",
     "scan_documents",
     "scan_lines",
+    "scan_payloads",
     "scan_text",
     "silver_lines",
     "with_position",

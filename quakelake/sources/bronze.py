@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import sys
+import uuid
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyarrow import fs
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 from quakelake.functions.times import date_stamp
 
@@ -65,22 +71,88 @@ def land_documents(
     )
 
 
+def scan_payloads(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, content) of raw files, as bytes. Names that start with a dot or underscore are hidden."""
+    return spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+
+
+class SameNameError(ValueError):
+    """Two payloads to be landed have one name."""
+
+
+class _PayloadWriter(DataSourceWriter):
+    """Each row becomes one file of its name. It is written beside and then named, so a task that is
+    run again, or twice at a time, leaves whole files; files of the folder that no task wrote go last."""
+
+    def __init__(self, folder: str) -> None:
+        self.folder = folder
+
+    def _files(self):
+        file_system, folder = fs.FileSystem.from_uri(self.folder)
+        file_system.create_dir(folder, recursive=True)
+        return file_system, folder
+
+    def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
+        file_system, folder = self._files()
+        names = []
+        for row in iterator:
+            beside = f"{folder}/.{row.name}.{uuid.uuid4().hex}"
+            with file_system.open_output_stream(beside) as out:
+                out.write(row.content)
+            file_system.move(beside, f"{folder}/{row.name}")
+            names.append(row.name)
+        return _Landed(names)
+
+    def _remove_but(self, names: set[str]) -> None:
+        file_system, folder = self._files()
+        for info in file_system.get_file_info(fs.FileSelector(folder)):
+            if info.base_name not in names:
+                file_system.delete_file(info.path)
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        self._remove_but({name for message in messages if message for name in message.names})
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        file_system, folder = self._files()
+        for info in file_system.get_file_info(fs.FileSelector(folder)):
+            if info.base_name.startswith("."):
+                file_system.delete_file(info.path)
+
+
+class _Landed(WriterCommitMessage):
+    def __init__(self, names: list[str]) -> None:
+        self.names = names
+
+
+class _Payloads(DataSource):
+    """A sink for (name, content): one file a row in the folder ``path``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "payloads"
+
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
+        return _PayloadWriter(self.options["path"])
+
+
 def land_payloads(
     spark: SparkSession, source: str, path: str, day: dt.date | str | None = None
 ) -> None:
-    """Copy raw text files to ``ingest_date=YYYYMMDD``; one payload per file.
+    """Copy raw files to ``ingest_date=YYYYMMDD``, byte by byte and under their names.
 
-    The sink ends each file with a line feed, so one at the end of the text is taken off before: a
-    text that ends in one lands as it is, any other gains one. File names are not kept.
+    Files are bytes, of any encoding or none. Landing a date again replaces that date alone: files
+    of it that are not landed now are removed after all others are there. Two files of one name are
+    refused before anything is written. A file is one task's work and is held in memory. Files of no
+    bytes do not land: Spark's scans leave them out.
     """
-    payloads = spark.read.text(source, wholetext=True)
-    text = F.col("value")
-    ends = text.endswith("\n")
-    (
-        _stamped(payloads, F.when(ends, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text), day)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 1)
-        .partitionBy(INGEST_DATE)
-        .text(path)
-    )
+    payloads = scan_payloads(spark, source).withColumn("name", F.substring_index("path", "/", -1))
+    if not payloads.groupBy("name").count().where("count > 1").isEmpty():
+        raise SameNameError(f"{source}: several files have one name")
+    stamp = spark.range(1).select(date_stamp(day)).first()[0]
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    try:
+        spark.dataSource.register(_Payloads)
+    finally:
+        cloudpickle.unregister_pickle_by_value(sys.modules[__name__])
+    target = f"{path.rstrip('/')}/{INGEST_DATE}={stamp}"
+    payloads.select("name", "content").write.format("payloads").mode("append").option("path", target).save()

@@ -250,3 +250,15 @@ def test_strict_fails_whatever_is_read(lines, feature, collection):
         rows.select("id").collect()
     with pytest.raises(Exception, match="null rms"):
         rows.count()
+
+
+def test_named_columns_read_only_themselves_and_what_rules_check(lines, feature, collection):
+    documents = lines(collection(feature(), feature(id_="ev2", place=None), feature(without=("title",)), 7), "{broken")
+    features = explode_raw_features(documents)
+    some = tolerant_rows(features, ["code", "place"])
+    assert some.columns == ["code", "place"]
+    assert some.collect() == tolerant_rows(features).select("code", "place").collect()
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    for unread in ("url:", "detail:", "alert:", "types:", "sources:", "ids:", "nst:", "tz:", "updated:"):
+        assert unread not in plan and f",{unread[:-1]}," not in plan
+    assert "place" in plan and "tsunami" in plan

@@ -183,3 +183,95 @@ def test_the_tolerant_write_does_not_sort(spark, tmp_path, lines, feature, colle
     executions = status.executionsList()
     plan = executions.apply(executions.size() - 1).physicalPlanDescription()
     assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort" not in plan.split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def wide(spark, tables):
+    """Gold of twelve files, some 40 rows each, by key, and a way to merge a batch into it."""
+
+    def made(low, high, day, step=1):
+        keys = spark.range(low, high, step).selectExpr(
+            "concat('k', lpad(id, 5, '0')) AS ids", f"'2024-01-{day:02d} 00:00:00' AS time",
+            "cast(id AS double) AS magnitude", "'x' AS area",
+        )
+        return keys
+
+    gold = made(0, 240, 3).unionByName(made(240, 480, 20))
+    gold = gold.unionByName(gold.limit(7).withColumn("ids", F.lit(None).cast("string")))
+    tables["gold"].replace(gold.repartitionByRange(12, "magnitude"), index_by=("ids", "time"))
+    return made
+
+
+def files_of(table):
+    return {row["file"] for row in table.index().collect()}
+
+
+def test_a_small_batch_rewrites_few_files(wide, tables):
+    """Ten keys touch no more than ten files; here they lie in two. All others stay as they are."""
+    before = files_of(tables["gold"])
+    assert len(before) == 12
+    tables["gold_daily"].replace(wide(100, 105, 25).unionByName(wide(300, 305, 25)))
+    merged = merge(tables)
+    after = files_of(tables["gold"])
+    assert 1 <= len(before - after) <= 4 and len(before & after) >= 8
+    assert merged.columns == ["ids", "time", "magnitude", "area", "insert_dt"]
+    assert merged.count() == 487 == tables["gold"].row_count()
+    assert merged.where("time like '2024-01-25%'").count() == 10
+    assert merged.select("ids").where("ids is not null").distinct().count() == 480
+    assert merged.select("insert_dt").distinct().count() == 1
+
+
+def test_a_batch_of_new_keys_rewrites_nothing(wide, tables):
+    before = files_of(tables["gold"])
+    tables["gold_daily"].replace(wide(900, 930, 25))
+    first = merge(tables).agg(F.max("insert_dt")).first()[0]
+    assert before < files_of(tables["gold"])
+    assert tables["gold"].read().count() == 517
+    assert merge(tables).agg(F.min("insert_dt")).first()[0] > first
+
+
+def test_touched_files_are_the_same_by_all_ways(wide, tables, monkeypatch):
+    """Keys that are broadcast, keys that are not, and files told by the ends of the batch alone."""
+    from quakelake.plans import jobs
+    from quakelake.sources import tables as stored_tables
+
+    tables["gold_daily"].replace(wide(90, 130, 25, 3).unionByName(wide(600, 610, 25)))
+    before = tables["gold"].read()
+    kept = VersionedTable(before.sparkSession, tables["gold"].path + "_kept")
+    kept.replace(before)
+    wanted = None
+    for most, keys in ((10**8, 4_000_000), (0, 4_000_000), (10**8, 1), (0, 1)):
+        monkeypatch.setattr(stored_tables, "MOST_COMPARED", most)
+        monkeypatch.setattr(jobs, "BROADCAST_KEYS", keys)
+        tables["gold"].replace(kept.read().repartitionByRange(12, "magnitude"), index_by=("ids", "time"))
+        old = files_of(tables["gold"])
+        found = content(merge(tables))
+        assert 1 <= len(old - files_of(tables["gold"])) <= 3
+        wanted = wanted or found
+        assert found == wanted and len(found) == 487 + 10
+
+
+def test_an_ordered_table_tells_touched_files_by_bounds(wide, tables):
+    """After a total order by key, bounds rule out all files but those of the batch's keys."""
+    tables["gold_daily"].replace(wide(900, 901, 25))
+    merge(tables, ordered=True)
+    gold = tables["gold"]
+    bounds = [(row["ids_min"], row["ids_max"]) for row in gold.index().collect() if row["ids_min"]]
+    assert all(a[1] <= b[0] or b[1] <= a[0] for a in bounds for b in bounds if a != b)
+    key = gold.read().where("ids is not null").select("ids").orderBy("ids").first()["ids"]
+    keys = gold.spark.createDataFrame([(key,)], "ids STRING")
+    assert len(gold.files_with("ids", keys, 1)) == 1
+
+
+def test_recent_days_leave_old_files_unopened(wide, tables):
+    from quakelake.plans import gold_since_week
+
+    gold = tables["gold"]
+    recent = gold_since_week(gold, "2024-01-27")
+    assert 5 <= len(recent.inputFiles()) <= 7
+    assert [row["area"] for row in analytics.top_area_of_week(recent, "2024-01-27").collect()] == ["x"]
+    assert recent.where("time >= '2024-01-20'").count() == gold.read().where("time >= '2024-01-20'").count()
+    late = wide(0, 3, 3).withColumn("time", F.lit("+12024-01-01 00:00:00"))
+    gold.rewrite([], late)
+    assert gold_since_week(gold, "2999-01-01").where("time like '+%'").count() == 3
+    assert len(gold_since_week(gold, "2999-01-01").inputFiles()) <= 3

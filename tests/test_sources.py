@@ -1,8 +1,11 @@
 import json
 
+import pytest
+
 from quakelake.operators import explode_raw_features, tolerant_rows, with_derived
 from quakelake.schema import TOLERANT_SILVER
 from quakelake.sources import (
+    SameNameError,
     land_documents,
     land_payloads,
     outcome_lines,
@@ -10,6 +13,7 @@ from quakelake.sources import (
     read_silver,
     scan_documents,
     scan_lines,
+    scan_payloads,
     scan_text,
     silver_lines,
     write_lines,
@@ -41,15 +45,45 @@ def test_dates_are_pruned_and_replaced_one_by_one(spark, tmp_path, lines):
 
 
 def test_payloads_land_unchanged(spark, tmp_path, feature, collection):
+    """Bytes and names, also of what is not UTF-8 or lacks a last line feed. Scans skip empty files."""
     source, path = tmp_path / "in", tmp_path / "raw"
     source.mkdir()
-    texts = {json.dumps(collection(feature(ids=str(n))), indent=n + 1) for n in range(3)}
-    for number, text in enumerate(texts):
-        (source / f"{number}.json").write_text(text + "\n" * (number % 2))
+    texts = [json.dumps(collection(feature(ids=str(n))), indent=n + 1) for n in range(3)]
+    payloads = {f"{n} é%41.json": (text + "\n" * (n % 2)).encode() for n, text in enumerate(texts)}
+    payloads |= {"latin.bin": b"\xff\xfe caf\xe9\r\n"}
+    for name, payload in payloads.items():
+        (source / name).write_bytes(payload)
+    (source / "empty").touch()
     land_payloads(spark, str(source), str(path), "2024-01-30")
-    files = list(path.glob("ingest_date=20240130/part-*"))
-    assert {file.read_text() for file in files} == {text + "\n" for text in texts}
-    assert explode_raw_features(scan_documents(spark, str(path))).count() == 3
+    landed = path / "ingest_date=20240130"
+    assert {file.name: file.read_bytes() for file in landed.iterdir()} == payloads
+    found = {row["path"].rsplit("/", 1)[1]: bytes(row["content"]) for row in scan_payloads(spark, str(landed)).collect()}
+    assert found == payloads
+    assert explode_raw_features(scan_documents(spark, str(path))).where("problem is null").count() == 3
+
+
+def test_landing_a_date_again_replaces_that_date_alone(spark, tmp_path):
+    path = tmp_path / "raw"
+    for day, names in (("2024-01-30", "ab"), ("2024-01-31", "xy"), ("2024-01-30", "bc")):
+        source = tmp_path / f"in-{day}-{names}"
+        source.mkdir()
+        for name in names:
+            (source / name).write_text(f"{name} of {names}")
+        land_payloads(spark, str(source), str(path), day)
+    stored = {str(file.relative_to(path)): file.read_text() for file in path.rglob("*") if file.is_file()}
+    assert stored == {
+        "ingest_date=20240130/b": "b of bc", "ingest_date=20240130/c": "c of bc",
+        "ingest_date=20240131/x": "x of xy", "ingest_date=20240131/y": "y of xy",
+    }
+
+
+def test_payloads_of_one_name_are_refused(spark, tmp_path):
+    for folder in ("one", "two"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "same.json").write_text(folder)
+    with pytest.raises(SameNameError):
+        land_payloads(spark, str(tmp_path / "in" / "*"), str(tmp_path / "raw"), "2024-01-30")
+    assert not (tmp_path / "raw").exists()
 
 
 def test_json_lines_write_nulls(spark, tmp_path, lines, feature, collection):

@@ -135,3 +135,118 @@ def test_questions_read_only_what_they_need(spark, table):
     plan = physical(analytics.top_area_of_week(gold, "2024-01-27"))
     assert "GreaterThanOrEqual(time,2024-01-20)" in plan and "StringStartsWith(time,+)" in plan
     assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+
+
+def names_of(table):
+    import os
+
+    return sorted(os.listdir(f"{table.path}/commits"))
+
+
+@pytest.mark.parametrize("torn", ["", '{"version": 2, "fol', "[]", '{"version": 2}'])
+def test_a_torn_commit_counts_as_none(spark, table, torn):
+    table.replace(spark.range(3))
+    with open(f"{table.path}/commits/v000000002.json", "w") as file:
+        file.write(torn)
+    assert values(table.read()) == [0, 1, 2] and table.row_count() == 3
+    assert values(table.replace(table.read().selectExpr("id + 5 AS id"))) == [5, 6, 7]
+    assert names_of(table)[-1] == "v000000003.json" and values(table.read()) == [5, 6, 7]
+    values(table.replace(spark.range(2)))
+    assert values(table.read()) == [0, 1]
+
+
+def test_a_first_commit_that_is_torn(spark, table):
+    import os
+
+    os.makedirs(f"{table.path}/commits")
+    open(f"{table.path}/commits/v000000001.json", "w").close()
+    assert not table.exists()
+    assert values(table.replace(spark.range(2))) == [0, 1] == values(table.read())
+
+
+def test_a_crash_before_the_commit_is_named_leaves_the_version_before(spark, table, monkeypatch):
+    from quakelake import files
+
+    table.replace(spark.range(3))
+
+    def crash(*args):
+        raise OSError("killed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "_link_new", crash)
+        with pytest.raises(OSError, match="killed"):
+            table.replace(spark.range(5))
+    assert values(table.read()) == [0, 1, 2] and [n for n in names_of(table) if n[0] == "v"] == ["v000000001.json"]
+    assert values(table.replace(spark.range(5))) == [0, 1, 2, 3, 4]
+
+
+def test_files_are_published_whole_and_once(spark, tmp_path, monkeypatch):
+    """By a link on local disks, by a rename that does not replace elsewhere."""
+    from quakelake import files
+
+    def renamed(source, target):
+        files._rename_new(spark, source, target)
+
+    for i, link in enumerate((files._link_new, renamed)):
+        monkeypatch.setattr(files, "_link_new", link)
+        path = str(tmp_path / f"some{i}" / "file.json")
+        assert files.publish_new(spark, path, "one")
+        assert not files.publish_new(spark, path, "two")
+        assert files.read_small(spark, path) == "one"
+        assert files.names_in(spark, str(tmp_path / f"some{i}")) == ["file.json"]
+
+
+def people(spark, low, high, other="x"):
+    return spark.range(low, high).selectExpr("cast(id AS string) AS key", "id", f"'{other}' AS other")
+
+
+def test_stamps_are_read_and_not_stored(spark, table):
+    rows = table.replace(people(spark, 0, 3), stamps={"at": ("timestamp", "2024-01-30 12:00:00")})
+    assert rows.columns == ["key", "id", "other", "at"] and dict(rows.dtypes)["at"] == "timestamp"
+    assert {str(row["at"]) for row in rows.collect()} == {"2024-01-30 12:00:00"}
+    assert "at" not in spark.read.parquet(table.location()).columns
+    table.replace(table.read().limit(0).drop("at"), allow_empty=True, stamps={"at": ("string", "later")})
+    assert table.read().columns == ["key", "id", "other", "at"] and table.read().count() == 0
+
+
+def test_files_are_rewritten_alone(spark, table):
+    table.replace(people(spark, 0, 80).repartitionByRange(8, "id"), index_by=["key", "id"])
+    index = {row["file"]: row for row in table.index().collect()}
+    assert len(index) == 8 and sum(row["rows"] for row in index.values()) == 80 == table.row_count()
+    assert all(row["id_max"] - row["id_min"] == 9 and row["key_nulls"] == 0 for row in index.values())
+    keys = spark.createDataFrame([("12",), ("19",), ("nobody",)], "key STRING")
+    touched = table.files_with("key", keys, 3)
+    assert [index[file]["id_min"] for file in touched] == [10]
+    kept = table.read_files(touched).where("id % 2 = 0")
+    rows = table.rewrite(touched, kept.unionByName(people(spark, 100, 103, "new")), stamps={"at": ("string", "now")})
+    assert values(rows) == [*range(10), *range(10, 20, 2), *range(20, 80), 100, 101, 102] == values(table.read())
+    assert table.row_count() == 78 and rows.columns == ["key", "id", "other", "at"]
+    assert {row["file"] for row in table.index().collect()} >= set(index) - set(touched)
+    assert table.stored_bytes() == sum(row["bytes"] for row in table.index().collect()) > 0
+
+
+def test_files_that_no_version_names_are_removed(spark, table):
+    import glob
+
+    table.replace(people(spark, 0, 40).repartitionByRange(4, "id"), index_by=["id"])
+    for i in range(4):
+        touched = table.files_where(F.col("id_min") == 10 * i)
+        table.rewrite(touched, table.read_files(touched).selectExpr("key", "id + 1000 AS id", "other"))
+    stored = {path.split("/data/")[1] for path in glob.glob(f"{table.path}/data/*/part-*")}
+    live = {row["file"] for row in table.index().collect()}
+    before = {row["file"] for row in table._index_of(table._recent(2)[1]).collect()}
+    assert stored == live | before and len(live) >= 4
+    assert len(glob.glob(f"{table.path}/index/*")) == 2
+    assert values(table.read()) == list(range(1000, 1040))
+    table.replace(spark.range(2), keep=1)
+    assert values(table.read()) == [0, 1] and not glob.glob(f"{table.path}/index/*")
+
+
+def test_an_indexed_table_may_become_empty_and_full_again(spark, table):
+    table.replace(people(spark, 0, 4), index_by=["id"])
+    assert table.rewrite(table.files_where(F.lit(True)), people(spark, 0, 0)).count() == 0
+    assert table.read().columns == ["key", "id", "other"] and table.row_count() == 0
+    assert values(table.rewrite([], people(spark, 5, 7))) == [5, 6]
+    with pytest.raises(EmptyBatchError):
+        table.replace(people(spark, 0, 0), index_by=["id"])
+    assert values(table.read()) == [5, 6]
