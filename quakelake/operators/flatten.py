@@ -28,7 +28,9 @@ def flattened(features: DataFrame) -> DataFrame:
     rules = list(PLAIN_FIELDS)
     typed = typed_fields(features, rules)
     is_object = F.coalesce(F.schema_of_variant("feature").startswith("OBJECT"), F.lit(False))
-    reason = F.coalesce(F.col("problem"), F.when(~is_object, F.lit("feature is not an object")))
+    # Only an object has a type, so only features without one have their kind looked up.
+    no_feature = F.when(F.col("feature_type").isNull(), F.when(~is_object, F.lit("feature is not an object")))
+    reason = F.coalesce(F.col("problem"), no_feature)
     checked = typed.select(*_NAMES, "feature", "raw", reason.alias("reason"), lost_fields(rules).alias("lost"))
     return with_raw(checked, _NAMES)
 
