@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quakelake.files import delete_folder
-from quakelake.session import shared_dir
+from quakelake.session import setting, shared_dir
 
 # Blank and the control characters 9 to 13 part words; everything else belongs to one.
 WORD = r"[^\x20\x09-\x0D]+"
 # Bits of a membership map: 2048 rows of 4 KiB, 8 MiB in all, whatever the number of keys.
 MAP_BITS = 1 << 26
 BITS_PER_ROW = 1 << 15
-
+# Rows that go to a Python worker at a time: with whole texts in them, Spark's ten thousand take tens of
+# megabytes on both sides of each running task.
+ARROW_ROWS = "1000"
 
 _shipped: set[str] = set()
 
@@ -77,7 +79,8 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read again: no lineage and no second run."""
     spark = rows.sparkSession
     path = run_folder(spark, name)
-    rows.write.parquet(path)
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS):
+        rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
