@@ -123,11 +123,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        self._lowers = _lowers_and_drops(parts)
+        # Asked of the tokenizer, as reading its whole file again, vocabulary and all, takes much memory.
+        steps = {"normalizer": self._tokenizer.normalizer, "pre_tokenizer": self._tokenizer.pre_tokenizer}
+        self._lowers = _lowers_and_drops(
+            {name: None if step is None else json.loads(step.__getstate__()) for name, step in steps.items()}
+        )
         # Strings that the tokenizer takes out of a text before anything else; none if empty.
-        self._added = [_lowered(token["content"]) for token in parts["added_tokens"]]
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = [_lowered(token.content) for token in added]
         self._bare = _Words(self._encode)
         self._spaced = _Words(self._encode, " ", self._bare)
         self._line_feed = self._encode(["\n"])[0]
