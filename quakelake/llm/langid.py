@@ -19,9 +19,12 @@ from quakelake.llm.toxicity import fold
 FOLDS = 4
 HELD_OUT = 2
 UNDETERMINED = "und"
-# Bounds of the fit: languages (the most frequent), and documents of each, expected.
-LANGUAGES = 64
+# Bound of the fit: documents of each language, expected. All languages are learnt.
 DOCUMENTS = 400
+# Languages whose trees a worker holds; with more, texts are read once for each such group.
+GROUP = 32
+# Languages up to which their rates are broadcast; beyond, rows are joined with them by a shuffle.
+BROADCAST_LANGUAGES = 1 << 16
 
 # Trees of the models that this worker has met.
 _trees: dict[str, list[ppm.Tree]] = {}
@@ -29,20 +32,19 @@ _trees: dict[str, list[ppm.Tree]] = {}
 
 @dataclass
 class Model:
-    """Byte classes, and each language's counts; ``key`` names the model."""
+    """Counts of some languages, in order of their names; ``key`` names the model."""
 
-    classes: np.ndarray
     languages: list[str]
     counts: list[ppm.Counts]
     key: str
 
     @classmethod
-    def of(cls, classes: np.ndarray, counts: dict[str, ppm.Counts]) -> Model:
+    def of(cls, counts: dict[str, ppm.Counts]) -> Model:
         languages = sorted(counts)
-        digest = hashlib.sha256(classes.tobytes() + repr(languages).encode())
+        digest = hashlib.sha256(repr(languages).encode())
         for language in languages:
             digest.update(counts[language].runs.tobytes() + counts[language].counts.tobytes())
-        return cls(classes, languages, [counts[name] for name in languages], digest.hexdigest())
+        return cls(languages, [counts[name] for name in languages], digest.hexdigest())
 
     def trees(self) -> list[ppm.Tree]:
         if self.key not in _trees:
@@ -53,68 +55,70 @@ class Model:
     def code_lengths(self, text: bytes) -> np.ndarray:
         """Nats that each language needs for the whole text."""
         trees = self.trees()
-        symbols = ppm.symbols_of(text, self.classes)
         lengths = np.zeros(len(trees))
-        for at in range(0, max(1, len(symbols) - ppm.ORDER), ppm.BYTES_AT_A_TIME):
-            codes = ppm.contexts(symbols[at : at + ppm.BYTES_AT_A_TIME + ppm.ORDER])
+        for codes in ppm.runs_of(text):
             lengths += [tree.cost(codes) for tree in trees]
         return lengths
 
-    def predict(self, text: bytes) -> tuple[str, float]:
-        """The language and its share of the likelihood of all; of equal ones the first by name."""
+    def best(self, text: bytes) -> tuple[str, float, float]:
+        """The language, of equal ones the first by name; its code length; and the likelihood of all
+        languages as a multiple of its own."""
         lengths = self.code_lengths(text)
         best = int(lengths.argmin())
-        return self.languages[best], float(1 / np.exp(lengths[best] - lengths).sum())
+        return self.languages[best], float(lengths[best]), float(np.exp(lengths[best] - lengths).sum())
 
 
-def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(256, np.int64)
+def _counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, run, n) of each part of each text, so that no task holds more than one part."""
     for batch in slices(batches):
-        for text in texts_of(batch):
-            counts += np.bincount(np.frombuffer(ppm.prepared(text), np.uint8), minlength=256)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(counts)], ["byte", "n"])
+        for lang, text in zip(batch.column("lang"), texts_of(batch)):
+            for codes in ppm.runs_of(text):
+                counts = ppm.Counts.of(codes)
+                langs = pa.repeat(lang, len(counts.runs))
+                columns = [langs, pa.array(counts.runs), pa.array(counts.counts)]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "run", "n"])
 
 
-def _counts_of(classes: np.ndarray):
-    def of_language(rows: pa.Table) -> pa.Table:
-        found = [
-            ppm.Counts.of(ppm.contexts(ppm.symbols_of(text, classes)))
-            for batch in rows.to_batches()
-            for text in texts_of(batch)
-        ]
-        total = ppm.Counts.summed(*(np.concatenate([getattr(c, n) for c in found]) for n in ("runs", "counts")))
-        packed = [[total.runs.astype("<i8").tobytes()], [total.counts.astype("<i8").tobytes()]]
-        return pa.table([rows.column("lang").slice(0, 1), *packed], ["lang", "runs", "counts"])
+def _packed(rows: pa.Table) -> pa.Table:
+    """All runs of one language as one row."""
+    total = ppm.Counts.summed(*(rows.column(name).to_numpy() for name in ("run", "n")))
+    packed = [[total.runs.astype("<i8").tobytes()], [total.counts.astype("<i8").tobytes()]]
+    return pa.table([rows.column("lang").slice(0, 1), *packed], ["lang", "runs", "counts"])
 
-    return of_language
 
+def learn(docs: DataFrame) -> DataFrame:
+    """(lang, runs, counts), stored: every language of rows outside the held-out fold.
 
-def learn(docs: DataFrame) -> Model:
-    """Trees from rows with a language outside the held-out fold.
-
-    At most ``LANGUAGES`` languages are learnt, the most frequent, each from a sample by hash of
-    about ``DOCUMENTS`` whole texts. So the ids that are broadcast, the texts that one task counts
-    and the counts that are collected do not grow with the table.
+    Each is learnt from a sample by hash of about ``DOCUMENTS`` whole texts. Their runs are counted
+    in tasks and added up before a language's counts come together, whose number is bounded by the
+    sample.
     """
     rows = pick(docs, "doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     )
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    rates = F.broadcast(sizes.select(F.col("lang").alias("of_lang"), (DOCUMENTS / F.col("n")).alias("rate")))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    rates = stored(sizes.select(F.col("lang").alias("of_lang"), (DOCUMENTS / F.col("n")).alias("rate")), "language-rates")
+    if rates.count() <= BROADCAST_LANGUAGES:
+        rates = F.broadcast(rates)
     drawn = chance(F.col("doc_id"), "language") < F.col("rate")
     sample = rows.join(rates, F.col("lang") == F.col("of_lang")).where(drawn).select("lang", "text")
-    sample = stored(sample, "language-sample")
-    counted = sample.mapInArrow(_bytes_of, "byte LONG, n LONG").groupBy("byte").agg(F.sum("n").alias("n"))
-    seen = np.zeros(256, np.int64)
-    for row in counted.collect():
-        seen[row["byte"]] = row["n"]
-    classes = ppm.classes_of(seen)
-    counts = sample.groupBy("lang").applyInArrow(_counts_of(classes), "lang STRING, runs BINARY, counts BINARY")
-    found = {
-        row["lang"]: ppm.Counts(np.frombuffer(row["runs"], "<i8"), np.frombuffer(row["counts"], "<i8"))
-        for row in counts.collect()
-    }
-    return Model.of(classes, found)
+    counted = sample.mapInArrow(_counts_of, "lang STRING, run LONG, n LONG")
+    counted = counted.groupBy("lang", "run").agg(F.sum("n").alias("n"))
+    packed = counted.groupBy("lang").applyInArrow(_packed, "lang STRING, runs BINARY, counts BINARY")
+    return stored(packed, "language-counts")
+
+
+def models(learnt: DataFrame) -> Iterator[Model]:
+    """The languages in groups, in order of their names, each group fetched when it is wanted."""
+    names = sorted(row["lang"] for row in learnt.select("lang").collect())
+    for at in range(0, len(names), GROUP):
+        rows = learnt.where(F.col("lang").isin(names[at : at + GROUP])).collect()
+        yield Model.of(
+            {
+                row["lang"]: ppm.Counts(np.frombuffer(row["runs"], "<i8"), np.frombuffer(row["counts"], "<i8"))
+                for row in rows
+            }
+        )
 
 
 def has_letter(text: Column) -> Column:
@@ -128,24 +132,48 @@ def predict(docs: DataFrame) -> DataFrame:
     language to learn from. Rows of null doc_id are never held out and never learnt from. Repeated
     rows are predicted alike. An empty table gives no rows.
     """
-    model = learn(docs)
+    learnt = learn(docs)
+    letter = has_letter(F.col("text"))
     rows = pick(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("long"), "text", has_letter(F.col("text")).alias("letter")
+        F.col("doc_id").cast("long"),
+        F.when(letter, F.col("text")).alias("text"),
+        F.lit(None).cast("string").alias("lang_pred"),
+        F.lit(None).cast("double").alias("nats"),
+        F.lit(None).cast("double").alias("share"),
+    )
+    for number, model in enumerate(models(learnt)):
+        # A worker holds the trees of one group, so groups are read from a table, not in a chain.
+        source = stored(rows, "language-rows") if number else rows
+        rows = source.mapInArrow(_better(model), source.schema)
+    held_out = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
+    return rows.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.coalesce("lang_pred", F.lit(UNDETERMINED)).alias("lang_pred"),
+        F.coalesce(1 / F.col("share"), F.lit(0.0)).alias("score"),
     )
 
+
+def _better(model: Model):
+    """Each row's language so far, or that of the model if it codes the text shorter."""
+
+    def joined(before: tuple, found: tuple) -> tuple:
+        if before[0] is None:
+            return found
+        best = min(before[1], found[1])
+        share = sum(float(np.exp(best - nats)) * share for _, nats, share in (before, found))
+        return (found if found[1] < before[1] else before)[0], best, share
+
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
+            so_far = list(zip(*(batch.column(name).to_pylist() for name in ("lang_pred", "nats", "share"))))
             found = [
-                model.predict(text) if letter and model.languages else (UNDETERMINED, 0.0)
-                for text, letter in zip(texts_of(batch), batch.column("letter").to_pylist())
+                joined(before, model.best(text)) if text else before for before, text in zip(so_far, texts_of(batch))
             ]
-            columns = [
-                batch.column("doc_id"),
-                pa.array([language for language, _ in found], pa.string()),
-                pa.array([score for _, score in found], pa.float64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
+            kinds = [pa.string(), pa.float64(), pa.float64()]
+            columns = [pa.array([row[i] for row in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text"), *columns], batch.schema.names
+            )
 
-    predicted = rows.mapInArrow(of_task, "doc_id LONG, lang_pred STRING, score DOUBLE")
-    held_out = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
-    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return of_task

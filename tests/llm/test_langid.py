@@ -20,11 +20,11 @@ def made(number=450):
     return rows
 
 
-def brute_cost(texts, classes, text):
+def brute_cost(texts, text):
     """Code length by walking from the longest context to the shortest, byte by byte."""
     follow = [Counter() for _ in range(ppm.ORDER + 1)]
     for each in texts:
-        symbols = ppm.symbols_of(each, classes).tolist()
+        symbols = ppm.symbols_of(each).tolist()
         for at in range(ppm.ORDER, len(symbols)):
             for order in range(ppm.ORDER + 1):
                 follow[order][tuple(symbols[at - order : at]), symbols[at]] += 1
@@ -32,7 +32,7 @@ def brute_cost(texts, classes, text):
     for order, counts in enumerate(follow):
         for (context, symbol), count in counts.items():
             after[order].setdefault(context, {})[symbol] = count
-    symbols, total = ppm.symbols_of(text, classes).tolist(), 0.0
+    symbols, total = ppm.symbols_of(text).tolist(), 0.0
     for at in range(ppm.ORDER, len(symbols)):
         for order in range(ppm.ORDER, -1, -1):
             seen = after[order].get(tuple(symbols[at - order : at]), {})
@@ -44,23 +44,63 @@ def brute_cost(texts, classes, text):
                 break
             total -= math.log(len(seen) / (number + len(seen)))
         else:
-            total += math.log(ppm.CLASSES)
+            total += math.log(256)
     return total
 
 
+def counts_of(texts):
+    return ppm.Counts.of(np.concatenate([ppm.contexts(ppm.symbols_of(text)) for text in texts]))
+
+
 def test_code_lengths_match_brute_force(monkeypatch):
-    texts = [text.encode() for _, text, _ in made(60)]
-    seen = np.bincount(np.frombuffer(b"".join(map(ppm.prepared, texts)), np.uint8), minlength=256)
-    classes = ppm.classes_of(seen)
-    counts = ppm.Counts.of(np.concatenate([ppm.contexts(ppm.symbols_of(t, classes)) for t in texts]))
-    model = langid.Model.of(classes, {"x": counts})
-    for text in (b"", b"a", b"la mo ti", "unerhört ÄÖ".encode(), texts[5] * 3):
-        assert math.isclose(model.code_lengths(text)[0], brute_cost(texts, classes, text), rel_tol=1e-5)
+    draw = random.Random(3)
+    every = [bytes(draw.sample(range(256), 256)) for _ in range(6)]
+    texts = [text.encode() for _, text, _ in made(60)] + every
+    for learnt in (texts, texts[:1], [b"a"]):
+        model = langid.Model.of({"x": counts_of(learnt)})
+        for text in (b"", b"a", b"la mo ti", "unerhört ÄÖ".encode(), texts[5] * 3, every[0], bytes(range(255, -1, -1))):
+            assert math.isclose(model.code_lengths(text)[0], brute_cost(learnt, text), rel_tol=1e-5)
+    model = langid.Model.of({"x": counts_of(texts)})
     whole = model.code_lengths(texts[7])[0]
     monkeypatch.setattr(ppm, "BYTES_AT_A_TIME", 5)
     assert math.isclose(model.code_lengths(texts[7])[0], whole, rel_tol=1e-9)
 
 
+def many(number=80):
+    """Languages of one script each, in code points above ASCII: more than a worker holds at a time."""
+    draw = random.Random(4)
+    rows = []
+    for i in range(number * 9):
+        letters = [chr(0x4E00 + 40 * (i % number) + j) for j in range(40)]
+        text = " ".join("".join(draw.choices(letters, k=4)) for _ in range(12))
+        rows.append((i, text, f"l{i % number:02d}"))
+    return rows
+
+
+def test_all_languages_are_learnt(docs, spark):
+    rows = many()
+    found = {row["doc_id"]: row["lang_pred"] for row in langid.predict(docs(*rows)).collect()}
+    assert found == {i: lang for i, _, lang in rows}
+
+
+def test_query_matches_brute_force_for_any_groups(docs, rows_of, monkeypatch):
+    rows = made(120)
+    learnt = {}
+    for i, text, lang in rows:
+        if lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            learnt.setdefault(lang, []).append(text.encode())
+    whole = rows_of(langid.predict(docs(*rows)))
+    texts = {i: text.encode() for i, text, _ in rows}
+    for doc_id, _, lang, score in whole:
+        costs = {name: brute_cost(each, texts[doc_id]) for name, each in learnt.items()}
+        assert lang == min(costs, key=lambda name: (costs[name], name))
+        assert math.isclose(score, 1 / sum(math.exp(costs[lang] - cost) for cost in costs.values()), rel_tol=1e-3)
+    monkeypatch.setattr(langid, "GROUP", 1)
+    monkeypatch.setattr(langid, "BROADCAST_LANGUAGES", 0)
+    for one, other in zip(whole, rows_of(langid.predict(docs(*rows)))):
+        assert one[:3] == other[:3] and math.isclose(one[3], other[3], rel_tol=1e-9)
+
+
 def test_held_out_rows_are_told_apart(docs, clashing):
     rows = made()
     odd = [(900, None, "aa"), (901, "", "aa"), (902, "12 34!", "aa"), (903, "é" * 100_000, "zz"), (None, "la mo", "aa"), rows[0]]
