@@ -14,6 +14,7 @@ best score found. Ties are expanded too, so the result is exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,33 +40,28 @@ _EXACT_DOUBLE = 2.0**53
 _EXACT_LONG = 2.0**62
 
 _ANNULI = (
-    "part INT, pivot INT, near DOUBLE, far DOUBLE, norm DOUBLE, ids BINARY, vectors BINARY,"
+    "part INT, pivot INT, near DOUBLE, far DOUBLE, norm DOUBLE, ids BINARY, places BINARY, vectors BINARY,"
     " query BINARY, floors BINARY"
 )
 
 
 def whole_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """(vec_id, vec): the vectors that take part, as arrays of whole numbers.
+    """(vec_id, place, vec), stored: the vectors that take part, as arrays of whole numbers.
 
     Vectors that are null or hold a null or non-finite component take no part, nor do rows of null
-    key. Of several rows of one key the smallest vector counts. Vectors of another length than the
-    most frequent (of equally frequent ones the shortest) and such with a component beyond
-    ``LARGEST`` or a squared norm beyond a long take no part either: they have no score.
+    key. ``place`` tells rows apart, also those that repeat a key. A vector with a component beyond
+    ``LARGEST`` or a squared norm beyond a long fails the job: no long holds its scores.
     """
     kept = pick(rows, key, vector).toDF("vec_id", "vec").where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull())
-    scaled = F.transform("vec", lambda x: F.floor(x.cast("double") * SCALE))
-    finite = F.forall(
-        "vec",
-        lambda x: x.isNotNull()
-        & ~F.isnan(x.cast("double"))
-        & (F.abs(x.cast("double")) <= LARGEST / SCALE),
-    )
-    kept = kept.where(finite).select(F.col("vec_id").cast("long"), scaled.alias("vec"))
-    norm = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
-    kept = kept.where(norm <= _EXACT_LONG).groupBy("vec_id").agg(F.min("vec").alias("vec"))
-    kept = stored(kept, "vectors")
-    sizes = kept.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return kept.where(F.size("vec") == (sizes[0]["n"] if sizes else 0))
+    wide = F.transform("vec", lambda x: x.cast("double"))
+    finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    kept = kept.select(F.col("vec_id").cast("long"), wide.alias("vec")).where(finite)
+    norm = F.aggregate("vec", F.lit(0.0), lambda total, x: total + F.floor(x * SCALE).cast("double") ** 2)
+    fits = F.forall("vec", lambda x: F.abs(x) <= LARGEST / SCALE) & (norm <= _EXACT_LONG)
+    failure = F.raise_error(F.concat(F.lit("components too large for whole scores: "), F.col("vec_id").cast("string")))
+    scaled = F.when(fits, F.transform("vec", lambda x: F.floor(x * SCALE))).otherwise(failure.cast("array<bigint>"))
+    # The number is written with the rows, so a task that is run again later changes none.
+    return stored(kept.select("vec_id", F.monotonically_increasing_id().alias("place"), scaled.alias("vec")), "vectors")
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -94,8 +90,9 @@ def _placed(pivots: np.ndarray):
             nearest = (norms - 2 * vectors @ middle.T).argmin(axis=1)
             distance = np.sqrt(((vectors - middle[nearest]) ** 2).sum(axis=1))
             columns = [pa.array(nearest.astype(np.int32)), pa.array(distance)]
-            names = ["vec_id", "vec", "pivot", "distance"]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vec"), *columns], names)
+            names = ["vec_id", "place", "vec"]
+            own = [batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays([*own, *columns], [*names, "pivot", "distance"])
 
     return of_task
 
@@ -114,7 +111,7 @@ def _annuli(width: int, every: int, top: int):
     """Annuli of a sorted partition, each with the k-th score its own queries reach within it."""
 
     def made(pivot: int, rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        ids, distance, vectors = (np.concatenate(part) for part in zip(*rows))
+        ids, places, distance, vectors = (np.concatenate(part) for part in zip(*rows))
         queries = np.flatnonzero(ids % every == 0)
         floors = np.full(len(queries), np.iinfo(np.int64).min)
         scores = _scores(vectors[queries], vectors)
@@ -125,10 +122,10 @@ def _annuli(width: int, every: int, top: int):
         norm = float((vectors.astype(np.float64) ** 2).sum(axis=1).max())
         row = (
             (TaskContext.get().partitionId(), pivot, float(distance.min()), float(distance.max()), norm)
-            + (ids.astype("<i8").tobytes(), vectors.astype("<i8").tobytes())
+            + (ids.astype("<i8").tobytes(), places.astype("<i8").tobytes(), vectors.astype("<i8").tobytes())
             + (queries.astype("<i8").tobytes(), floors.astype("<i8").tobytes())
         )
-        kinds = [pa.int32(), pa.int32()] + [pa.float64()] * 3 + [pa.binary()] * 4
+        kinds = [pa.int32(), pa.int32()] + [pa.float64()] * 3 + [pa.binary()] * 5
         names = [field.split()[0] for field in _ANNULI.split(",")]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
@@ -137,7 +134,7 @@ def _annuli(width: int, every: int, top: int):
         for batch in batches:
             pivots = batch.column("pivot").to_numpy()
             ids, distance = batch.column("vec_id").to_numpy(), batch.column("distance").to_numpy()
-            vectors = _matrix(batch.column("vec"), width)
+            places, vectors = batch.column("place").to_numpy(), _matrix(batch.column("vec"), width)
             at = 0
             while at < len(ids):
                 if held and (size >= ANNULUS or pivots[at] != current):
@@ -146,7 +143,7 @@ def _annuli(width: int, every: int, top: int):
                 current = int(pivots[at])
                 same = at + int(np.searchsorted(pivots[at:], current, side="right"))
                 end = min(same, at + ANNULUS - size)
-                held.append((ids[at:end], distance[at:end], vectors[at:end]))
+                held.append((ids[at:end], places[at:end], distance[at:end], vectors[at:end]))
                 size, at = size + end - at, end
         if held:
             yield made(current, held)
@@ -157,14 +154,14 @@ def _annuli(width: int, every: int, top: int):
 def build_index(vectors: DataFrame, every: int, top: int = TOP, pivots: int = PIVOTS) -> tuple[DataFrame, np.ndarray]:
     """The stored annuli and the pivots, a fixed number of vectors drawn by hash.
 
-    Range partitioning by pivot, distance and id spreads equal vectors over tasks too.
+    Range partitioning by pivot, distance and place spreads equal vectors over tasks too.
     """
-    drawn = vectors.orderBy(chance(F.col("vec_id"), "pivot"), "vec_id").limit(pivots).collect()
+    drawn = vectors.orderBy(chance(F.col("vec_id"), "pivot"), "vec_id", "vec").limit(pivots).collect()
     middle = np.array([row["vec"] for row in drawn], np.int64).reshape(len(drawn), len(drawn[0]["vec"]))
     placed = vectors.mapInArrow(
-        _placed(middle), "vec_id LONG, vec ARRAY<LONG>, pivot INT, distance DOUBLE"
+        _placed(middle), "vec_id LONG, place LONG, vec ARRAY<LONG>, pivot INT, distance DOUBLE"
     )
-    order = ("pivot", "distance", "vec_id")
+    order = ("pivot", "distance", "vec_id", "place")
     dealt = stored(placed, "placed").repartitionByRange(*order).sortWithinPartitions(*order)
     annuli = dealt.mapInArrow(_annuli(middle.shape[1], every, top), _ANNULI)
     return stored(annuli, "annuli"), middle
@@ -178,8 +175,8 @@ def _search(middle: np.ndarray, top: int):
     def unpacked(rows: pa.Table, name: str) -> list[np.ndarray]:
         return [np.frombuffer(value, "<i8") for value in rows.column(name).to_pylist()]
 
-    def of_block(ids, queries, floors, index) -> list[tuple[np.ndarray, ...]]:
-        rings, near, far, norm, members, vectors = index
+    def of_block(own_places, queries, floors, index) -> list[tuple[np.ndarray, ...]]:
+        rings, near, far, norm, members, places_of, vectors = index
         wide = queries.astype(np.float64)
         own = (wide**2).sum(axis=1)
         distance = np.sqrt(np.maximum(0, own[:, None] - 2 * wide @ pivots.T + (pivots**2).sum(axis=1)))[:, rings]
@@ -187,7 +184,7 @@ def _search(middle: np.ndarray, top: int):
         # A little more than the bound, for the rounding of the distances.
         bound = (own[:, None] + norm - gap**2) / 2
         bound += 1e-9 * (own[:, None] + norm + distance**2) + 1
-        best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(ids)
+        best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)
         floors = floors.copy()
         for ring in np.argsort(-bound.max(axis=0), kind="stable"):
             asking = np.flatnonzero(bound[:, ring] >= floors)
@@ -195,7 +192,7 @@ def _search(middle: np.ndarray, top: int):
                 continue
             scores = _scores(queries[asking], vectors[ring])
             for query, row in zip(asking, scores):
-                able = np.flatnonzero((row >= floors[query]) & (members[ring] != ids[query]))
+                able = np.flatnonzero((row >= floors[query]) & (places_of[ring] != own_places[query]))
                 if not len(able):
                     continue
                 all_scores = np.concatenate((best[query][0], row[able]))
@@ -207,21 +204,23 @@ def _search(middle: np.ndarray, top: int):
         return best
 
     def of_group(asked: pa.Table, kept: pa.Table) -> pa.Table:
-        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        names = ("query_id", "query_place", "vec_id", "score")
+        schema = pa.schema([(name, pa.int64()) for name in names])
         if not asked.num_rows or not kept.num_rows:
             return schema.empty_table()
-        members = unpacked(kept, "ids")
+        members, places_of = unpacked(kept, "ids"), unpacked(kept, "places")
         vectors = [v.reshape(len(m), width) for v, m in zip(unpacked(kept, "vectors"), members)]
         rings, near, far, norm = (kept.column(name).to_numpy() for name in ("pivot", "near", "far", "norm"))
-        ids = np.concatenate(unpacked(asked, "ids"))
+        ids, own_places = (np.concatenate(unpacked(asked, name)) for name in ("ids", "places"))
         queries = np.concatenate(unpacked(asked, "vectors")).reshape(len(ids), width)
         floors = np.concatenate(unpacked(asked, "floors"))
-        out: list[list[np.ndarray]] = [[], [], []]
+        index = (rings, near, far, norm, members, places_of, vectors)
+        out: list[list[np.ndarray]] = [[] for _ in names]
         for at in range(0, len(ids), QUERIES_AT_A_TIME):
             part = slice(at, at + QUERIES_AT_A_TIME)
-            found = of_block(ids[part], queries[part], floors[part], (rings, near, far, norm, members, vectors))
-            for query, (scores, others) in zip(ids[part], found):
-                for values, held in zip((np.full(len(others), query), others, scores), out):
+            found = of_block(own_places[part], queries[part], floors[part], index)
+            for query, place, (scores, others) in zip(ids[part], own_places[part], found):
+                for values, held in zip((np.full(len(others), query), np.full(len(others), place), others, scores), out):
                     held.append(values)
         return pa.table([np.concatenate(held) for held in out], schema=schema)
 
@@ -239,10 +238,11 @@ def _asked(width: int):
                 if len(queries):
                     ids = np.frombuffer(row["ids"], "<i8")
                     vectors = np.frombuffer(row["vectors"], "<i8").reshape(len(ids), width)
-                    rows.append((ids[queries].tobytes(), vectors[queries].tobytes(), row["floors"], len(queries)))
-            columns = list(zip(*rows)) if rows else [[]] * 4
-            kinds = [pa.binary()] * 3 + [pa.int32()]
-            names = ["ids", "vectors", "floors", "n"]
+                    places = np.frombuffer(row["places"], "<i8")
+                    rows.append([each[queries].tobytes() for each in (ids, places, vectors)] + [row["floors"]])
+            names = ["ids", "places", "vectors", "floors"]
+            columns = list(zip(*rows)) if rows else [[]] * len(names)
+            kinds = [pa.binary()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return of_task
@@ -255,37 +255,43 @@ def _dealt(number: Column, groups: int) -> Column:
 def search(rows: DataFrame, every: int = 50, top: int = TOP, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the best rows of each query, all if there are fewer.
 
-    Queries are the keys divisible by ``every``; a query's own key is no candidate. See
-    ``whole_vectors`` for the rows that take part. Ranks start at 1; ties go to the smaller key. An
-    empty table, or one without a query, gives no rows.
+    Queries are the rows whose key is divisible by ``every``; the query's own row is no candidate.
+    A row that repeats a key is a candidate, and a query, of its own. Vectors are searched among
+    those of their length, as others have no inner product with them. See ``whole_vectors`` for the
+    rows that take part. Ranks start at 1; ties go to the smaller key. An empty table, or one
+    without a query, gives no rows.
 
     Groups of annuli meet groups of queries of bounded size, each pair in one task, and a task
     passes on no more than the best of each query.
     """
     vectors = whole_vectors(rows, key, vector)
-    number = vectors.count()
-    if not number:
+    sizes = vectors.groupBy(F.size("vec").alias("n")).count().orderBy("n").collect()
+    found = [_searched(vectors.where(F.size("vec") == row["n"]), row["count"], every, top) for row in sizes]
+    if not found:
         return rows.sparkSession.createDataFrame([], "query_id LONG, rank INT, vec_id LONG, score LONG")
+    return reduce(DataFrame.unionAll, found)
+
+
+def _searched(vectors: DataFrame, number: int, every: int, top: int) -> DataFrame:
+    """The search among vectors of one length."""
     annuli, middle = build_index(vectors, every, top)
     # A group for each task slot at least, so that small tables are searched by all.
-    slots = rows.sparkSession.sparkContext.defaultParallelism
+    slots = vectors.sparkSession.sparkContext.defaultParallelism
     index_groups = max(slots, -(-number // TASK_VECTORS))
     query_groups = max(1, -(-(number // every) // TASK_QUERIES))
-    asked = annuli.mapInArrow(_asked(middle.shape[1]), "ids BINARY, vectors BINARY, floors BINARY, n INT")
+    asked = annuli.mapInArrow(_asked(middle.shape[1]), "ids BINARY, places BINARY, vectors BINARY, floors BINARY")
     asked = asked.select(
-        _dealt(F.col("ids"), query_groups).alias("query_group"),
+        _dealt(F.col("places"), query_groups).alias("query_group"),
         F.explode(F.sequence(F.lit(0), F.lit(index_groups - 1))).alias("index_group"),
-        "ids",
-        "vectors",
-        "floors",
+        *("ids", "places", "vectors", "floors"),
     )
     kept = annuli.select(
-        _dealt(F.col("ids"), index_groups).alias("index_group"),
+        _dealt(F.col("places"), index_groups).alias("index_group"),
         F.explode(F.sequence(F.lit(0), F.lit(query_groups - 1))).alias("query_group"),
-        *("pivot", "near", "far", "norm", "ids", "vectors"),
+        *("pivot", "near", "far", "norm", "ids", "places", "vectors"),
     )
     pairs = asked.groupBy("query_group", "index_group").cogroup(kept.groupBy("query_group", "index_group"))
-    found = pairs.applyInArrow(_search(middle, top), "query_id LONG, vec_id LONG, score LONG")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.applyInArrow(_search(middle, top), "query_id LONG, query_place LONG, vec_id LONG, score LONG")
+    best = Window.partitionBy("query_place").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")
