@@ -75,15 +75,20 @@ class _Words:
     def ids(self, words: list[str]) -> list[bytes]:
         found = list(map(self._young.get, words))
         if None in found:
-            new = {word for word, ids in zip(words, found) if ids is None}
             if len(self._young) > CACHE_WORDS:
                 self._old, self._young = self._young, {}
-                new = set(words)
+                found = [None] * len(words)
+            places, at = [], -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                places.append(at)
+            new = {words[at] for at in places}
             long = [word for word in new if len(word) > LONGEST_WORD]
             self._learn(new.difference(long))
-            young = self._young
-            once = dict(zip(long, self._encode([self._lead + word for word in long]))) if long else young
-            found = [young.get(word) or once[word] if ids is None else ids for word, ids in zip(words, found)]
+            once = dict(zip(long, self._encode([self._lead + word for word in long])))
+            for at in places:
+                word = words[at]
+                found[at] = once[word] if word in once else self._young[word]
         return found
 
     def rest(self) -> None:
