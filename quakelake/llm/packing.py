@@ -17,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quakelake.llm.support import pick, slices
-from quakelake.llm.tokens import encoder, tokenizer_path
+from quakelake.llm.support import pick, settle, slices
+from quakelake.llm.tokens import encoder, encoder_name, tokenizer_path
 
 WINDOW = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -105,7 +105,9 @@ class Packer:
 
 def _pack(path: str | None, name: str, window: int, end_id: int):
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path or tokenizer_path(name))
+        file = path or tokenizer_path(name)
+        settle(encoder_name(file))
+        own = encoder(file)
         encode = own.encode
         end = end_id.to_bytes(_BYTES, "little")
         packer = Packer(window)

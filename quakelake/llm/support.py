@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +28,8 @@ BITS_PER_ROW = 1 << 15
 ARROW_ROWS = "1000"
 
 _shipped: set[str] = set()
+# What this worker keeps from task to task, by name.
+_kept: dict[str, Any] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -92,6 +97,28 @@ def discard(*tables: DataFrame) -> None:
             delete_folder(spark, folder)
 
 
+def kept(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once a worker until a task of another operator begins."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def settle(keep: str | None = None) -> None:
+    """At the start of a task: give up what tasks of other operators left in this worker.
+
+    A worker goes on from stage to stage, and what it has freed stays with its allocators; without
+    this, the memory of one operator would add to that of the next.
+    """
+    for name in [name for name in _kept if name != keep]:
+        del _kept[name]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in small parts, so that a task never holds a whole batch a second time."""
     for batch in batches:

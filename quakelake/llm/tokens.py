@@ -15,7 +15,8 @@ import json
 import os
 import re
 import struct
-from functools import lru_cache
+
+from quakelake.llm.support import kept
 
 # Words of one of the two generations of a cache, and the longest word that one holds: a cache has
 # a bound in bytes, whatever the texts.
@@ -175,7 +176,11 @@ class Encoder:
         return b"".join(found[:-1])
 
 
-@lru_cache(maxsize=2)
+def encoder_name(path: str) -> str:
+    """Under what name a worker keeps the encoder of a file."""
+    return f"encoder of {path}"
+
+
 def encoder(path: str) -> Encoder:
     """The encoder of a file, one for each worker."""
-    return Encoder(path)
+    return kept(encoder_name(path), lambda: Encoder(path))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakelake.llm.mixing import chance
-from quakelake.llm.support import numbered, pick, slices, stored, texts_of
+from quakelake.llm.support import numbered, pick, settle, slices, stored, texts_of
 
 GRAM = 5
 HASH_BITS = 20
@@ -143,6 +143,7 @@ def _confirmed(labels: DataFrame) -> DataFrame:
 
 
 def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    settle()
     for batch in slices(batches):
         found = pa.array([features(text) for text in texts_of(batch)], pa.list_(pa.int32()))
         names = ["doc_id", "toxic"]
@@ -268,6 +269,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows, at = numbered(docs)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        settle()
         score = model.scorer()
         for batch in slices(batches):
             yield batch.filter(pa.array([score(text) < 0.5 for text in texts_of(batch, at["text"])], pa.bool_()))

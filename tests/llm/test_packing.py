@@ -142,3 +142,14 @@ def test_long_words_are_not_kept(encoders):
         assert encoder.encode(text) == encoder.whole(text)
         kept = {word for cache in (encoder._bare, encoder._spaced) for word in (*cache._young, *cache._old)}
         assert not kept & set(words) and max(map(len, kept)) <= 64
+
+
+def test_a_task_gives_up_what_other_operators_left():
+    from quakelake.llm import support, tokens
+
+    one, other = (tokenizer_path(name) for name in TOKENIZERS)
+    first, second = packing.encoder(one), packing.encoder(other)
+    support.settle(tokens.encoder_name(other))
+    assert packing.encoder(other) is second and packing.encoder(one) is not first
+    support.settle()
+    assert not support._kept
