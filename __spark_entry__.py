@@ -168,7 +168,16 @@ def _read(path: str, type_: str) -> Column:
 
 
 def _bronze_multiline_scan(lake: Lake) -> DataFrame:
-    features = explode_features(scan_documents(lake.spark, lake.payloads("history")))
+    return _feature_totals(scan_documents(lake.spark, lake.payloads("history")))
+
+
+def _bronze_split_scan(lake: Lake) -> DataFrame:
+    """The same, with every file cut between its features into runs of some kilobytes."""
+    return _feature_totals(scan_documents(lake.spark, lake.payloads("history"), split=16 << 10))
+
+
+def _feature_totals(documents: DataFrame) -> DataFrame:
+    features = explode_features(documents)
     event_time = _read("$.properties.time", "bigint")
     return features.groupBy(F.col("document_type").alias("type")).agg(
         F.count("*").alias("n_features"),
@@ -370,13 +379,13 @@ _LOST_COUNTS = """SELECT CASE WHEN k % 73 <> 0 THEN 'lost nst' WHEN k % 79 <> 0
        ELSE 'lost sig, nst' END AS reason, count(*) AS features
 FROM checked WHERE reason IS NULL AND (k % 73 = 0 OR k % 79 = 0) GROUP BY 1"""
 
+_HISTORY_TOTALS = """SELECT 'FeatureCollection' AS type, count(*) AS n_features, min(ms) AS first_time,
+       max(ms) AS last_time, CAST(sum(sig) AS BIGINT) AS total_sig
+FROM history_features"""
+
 _QUERIES: dict[str, tuple[Callable[[Lake], DataFrame], str]] = {
-    "q_bronze_multiline_scan": (
-        _bronze_multiline_scan,
-        """SELECT 'FeatureCollection' AS type, count(*) AS n_features, min(ms) AS first_time,
-                  max(ms) AS last_time, CAST(sum(sig) AS BIGINT) AS total_sig
-           FROM history_features""",
-    ),
+    "q_bronze_multiline_scan": (_bronze_multiline_scan, _HISTORY_TOTALS),
+    "q_bronze_split_scan": (_bronze_split_scan, _HISTORY_TOTALS),
     "q_bronze_text_scan": (
         _bronze_text_scan,
         "SELECT id, mag, place, ms AS time FROM history_features",

@@ -15,17 +15,25 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from pyspark.sql.types import StructType
 
 from quakelake.functions.times import date_stamp
+from quakelake.sources.split_documents import SPLIT_BYTES, split_documents
 
 INGEST_DATE = "ingest_date"
 _LINES = f"value STRING, {INGEST_DATE} STRING"
 
 
-def scan_documents(spark: SparkSession, *paths: str) -> DataFrame:
+def scan_documents(spark: SparkSession, *paths: str, split: int = SPLIT_BYTES) -> DataFrame:
     """Whole files as one ``value`` each: JSON documents of any layout, one per file.
 
-    A file is one task's work, as JSON spread over lines cannot be split; land many files.
+    A file of up to ``split`` bytes is one task's work. A longer one is cut between its features and
+    gives several documents, with the same features in all; see ``split_documents``.
     """
-    return spark.read.text(list(paths), wholetext=True).select("value")
+    whole = spark.read.text(list(paths), wholetext=True)
+    files = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
+    long = files.where(F.col("length") > split)
+    if long.isEmpty():
+        return whole.select("value")
+    short = whole.where(F.col("_metadata.file_size") <= split).select("value")
+    return short.unionByName(split_documents(long, split))
 
 
 def scan_lines(
