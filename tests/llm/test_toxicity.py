@@ -101,3 +101,45 @@ def test_a_feature_of_three_toxic_texts_is_learnt(spark, docs):
     found = toxicity.score(docs(*clean, *marked), spark.createDataFrame(labels, "doc_id LONG, quality INT, toxic INT"))
     scores = {row["doc_id"]: row["score"] for row in found.collect()}
     assert min(scores[i] for i, _ in marked) > max(scores[i] for i, _ in clean)
+
+
+def test_features_match_a_plain_count():
+    text = "Du  Narr\tdu Narr, DU NARR! \u00c9 " * 3
+    padded = b" " + b" ".join(text.encode().lower().split()) + b" "
+    counts = {}
+    for i in range(len(padded) - 4):
+        run = int.from_bytes(padded[i : i + 5], "big") * 0x9E3779B97F4A7C15 % 2**64 >> (64 - toxicity.HASH_BITS)
+        counts[run] = counts.get(run, 0) + 1
+    wanted = [run | i << toxicity.HASH_BITS for run, n in counts.items() for i, least in enumerate((1, 2, 4)) if n >= least]
+    assert toxicity.features(text.encode()).tolist() == sorted(wanted)
+
+
+@pytest.mark.parametrize("prior", [0.05, 0.4])
+def test_training_follows_the_non_negative_risk(prior):
+    """Steps restated by numeric slopes of the risk, as the method states it: the positive risk plus that of the
+    rest less the positives' share, and where this falls below zero a step against it alone."""
+    pick = np.random.default_rng(3)
+    width, toxic = 6, np.arange(40) < 12
+    has = pick.random((40, width)) < np.where(toxic[:, None], 0.6, 0.3)
+
+    def parts(values):
+        score = has @ values[:-1] + values[-1]
+        loss_high, loss_low = np.logaddexp(0, -score), np.logaddexp(0, score)
+        # With logistic loss the two losses of a positive differ by its score, so their parts join.
+        return prior * loss_high[toxic].mean(), loss_low[~toxic].mean() - prior * loss_low[toxic].mean()
+
+    values = np.append(np.zeros(width), np.log(prior / (1 - prior)))
+    mean, square = np.zeros(width + 1), np.zeros(width + 1)
+    for step in range(1, toxicity.STEPS + 1):
+        negative = parts(values)[1] < 0
+
+        def risk(at):
+            positive, rest = parts(at)
+            return -rest if negative else positive + rest
+
+        slope = np.array([(risk(values + d) - risk(values - d)) / 2e-6 for d in np.eye(width + 1) * 1e-6])
+        slope[:-1] += toxicity.SHRINK * values[:-1]
+        mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
+        values = values - toxicity.STEP_SIZE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+    weights, bias = toxicity.fit(np.nonzero(has)[1], has.sum(axis=1), toxic, width, prior)
+    assert np.allclose(np.append(weights, bias), values, atol=5e-3)
