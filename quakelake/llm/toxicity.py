@@ -131,9 +131,15 @@ class Model:
         return score
 
 
-def _first_by_chance(ids: DataFrame, number: int, seed: str) -> DataFrame:
-    """At most so many ids, chosen by a hash; every task passes on no more than that."""
-    return ids.orderBy(chance(F.col("doc_id"), seed), "doc_id").limit(number)
+def _first_by_chance(ids: DataFrame, of: int, number: int, seed: str) -> DataFrame:
+    """At most so many ids, chosen by a hash, of a table of ``of`` rows.
+
+    The last step is one task's work. It gets only the ids whose hash is low enough, about twice as
+    many as are wanted, however many tasks there are.
+    """
+    drawn = chance(F.col("doc_id"), seed)
+    low = 2.0 * (number + 1000) / max(1, of)
+    return ids.where(drawn < low).orderBy(drawn, "doc_id").limit(number)
 
 
 def _confirmed(labels: DataFrame) -> DataFrame:
@@ -203,8 +209,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     n_known, n_toxic = confirmed.agg(F.count("*"), F.count_if("toxic")).first()
     prior = min(0.99, max(0.001, n_toxic / n_known)) if n_known else 0.001
     ids = pick(docs, "doc_id").dropna().where(fold(F.col("doc_id")) != HELD_OUT)
-    toxic_ids = _first_by_chance(confirmed.where("toxic").select("doc_id"), TOXIC_SAMPLE, "toxic")
-    other_ids = _first_by_chance(ids, UNLABELLED_SAMPLE, "unlabelled").distinct()
+    toxic_ids = _first_by_chance(confirmed.where("toxic").select("doc_id"), n_toxic, TOXIC_SAMPLE, "toxic")
+    other_ids = _first_by_chance(ids, ids.count(), UNLABELLED_SAMPLE, "unlabelled").distinct()
     sampled = toxic_ids.select("doc_id", F.lit(True).alias("toxic")).unionByName(
         other_ids.select("doc_id", F.lit(False).alias("toxic"))
     )

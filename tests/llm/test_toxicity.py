@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quakelake.llm import toxicity
 
@@ -143,3 +144,11 @@ def test_training_follows_the_non_negative_risk(prior):
         values = values - toxicity.STEP_SIZE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     weights, bias = toxicity.fit(np.nonzero(has)[1], has.sum(axis=1), toxic, width, prior)
     assert np.allclose(np.append(weights, bias), values, atol=5e-3)
+
+
+def test_a_drawn_sample_is_that_of_all_ids(spark):
+    ids = spark.range(60_000).withColumnRenamed("id", "doc_id")
+    drawn = toxicity._first_by_chance(ids, 60_000, 300, "s")
+    everything = ids.orderBy(toxicity.chance(F.col("doc_id"), "s"), "doc_id").limit(300)
+    assert sorted(drawn.collect()) == sorted(everything.collect())
+    assert toxicity._first_by_chance(ids, 0, 10, "s").count() == 10
