@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from quakelake.files import packed  # noqa: E402
 from quakelake.fixtures import feeds, oracle  # noqa: E402
 from quakelake.functions import (  # noqa: E402
     load_time_text,
@@ -106,11 +107,18 @@ class Lake:
         self._once(path, lambda: land_documents(documents(self.spark, self.sf_dir), path, RUN_DATE))
         return path
 
-    def payloads(self, feed: str) -> str:
-        """Folder of a feed's documents as raw multi-line files, one document per file."""
-        path = f"{self.root}/raw/{feed}"
-        documents = getattr(feeds, feed)(self.spark, self.sf_dir, separator="\n")
-        self._once(path, lambda: documents.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))
+    def payloads(self, feed: str, plain: bool = False) -> str:
+        """Folder of a feed's documents as raw multi-line files, one document per file.
+
+        The files are compressed, unless they are to be cut.
+        """
+        path = f"{self.root}/raw/{feed}{'-plain' if plain else ''}"
+
+        def build() -> None:
+            writer = getattr(feeds, feed)(self.spark, self.sf_dir, separator="\n").write.mode("overwrite")
+            (writer.option("maxRecordsPerFile", 1) if plain else packed(writer, 1)).text(path)
+
+        self._once(path, build)
         return path
 
     def lines(self, feed: str) -> DataFrame:
@@ -173,7 +181,7 @@ def _bronze_multiline_scan(lake: Lake) -> DataFrame:
 
 def _bronze_split_scan(lake: Lake) -> DataFrame:
     """The same, with every file cut between its features into runs of some kilobytes."""
-    return _feature_totals(scan_documents(lake.spark, lake.payloads("history"), split=16 << 10))
+    return _feature_totals(scan_documents(lake.spark, lake.payloads("history", plain=True), split=16 << 10))
 
 
 def _feature_totals(documents: DataFrame) -> DataFrame:
@@ -302,7 +310,7 @@ def _insert_date_text(lake: Lake) -> DataFrame:
 def _json_round_trip(lake: Lake) -> DataFrame:
     path = f"{lake.root}/silver_lines"
     rows = with_derived(_tolerant(lake))
-    write_lines(rows, path)
+    write_lines(rows, path, compressed=True)
     return lake.spark.read.schema(rows.schema).json(path)
 
 

@@ -5,7 +5,17 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrameWriter, SparkSession
+
+# Texts of features repeat their keys: a seventh of the bytes, at the cost of a few per cent of a load's time.
+_PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+PACKED_SUFFIXES = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst", ".zstd")
+
+
+def packed(writer: DataFrameWriter, rows_a_file: int) -> DataFrameWriter:
+    """Text files compressed as they are written. Such a file is one task's work when it is read, so
+    rows a file have a bound; 0 is none."""
+    return writer.options(**_PACKED, maxRecordsPerFile=rows_a_file)
 
 
 def _resolve(spark: SparkSession, path: str):

@@ -14,25 +14,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from quakelake.files import PACKED_SUFFIXES, packed
 from quakelake.functions.times import date_stamp
 from quakelake.sources.split_documents import SPLIT_BYTES, split_documents
 
 INGEST_DATE = "ingest_date"
 _LINES = f"value STRING, {INGEST_DATE} STRING"
+# Documents of one landed file, which is compressed and so one task's work.
+DOCUMENTS_A_FILE = 128
 
 
 def scan_documents(spark: SparkSession, *paths: str, split: int = SPLIT_BYTES) -> DataFrame:
     """Whole files as one ``value`` each: JSON documents of any layout, one per file.
 
     A file of up to ``split`` bytes is one task's work. A longer one is cut between its features and
-    gives several documents, with the same features in all; see ``split_documents``.
+    gives several documents, with the same features in all; see ``split_documents``. A compressed
+    file has no places to cut at and stays one task's work.
     """
     whole = spark.read.text(list(paths), wholetext=True)
     files = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
-    long = files.where(F.col("length") > split)
+
+    def cut(path: Column, size: Column) -> Column:
+        return (size > split) & ~F.lower(F.substring_index(path, ".", -1)).isin([s[1:] for s in PACKED_SUFFIXES])
+
+    long = files.where(cut(F.col("path"), F.col("length")))
     if long.isEmpty():
         return whole.select("value")
-    short = whole.where(F.col("_metadata.file_size") <= split).select("value")
+    short = whole.where(~cut(F.col("_metadata.file_path"), F.col("_metadata.file_size"))).select("value")
     return short.unionByName(split_documents(long, split))
 
 
@@ -41,7 +49,8 @@ def scan_lines(
 ) -> DataFrame:
     """Landed documents, one per text line, optionally of some ingest dates only.
 
-    ``path`` is a landing folder; the date filter prunes its partitions. Long files are split.
+    ``path`` is a landing folder; the date filter prunes its partitions. Long files are split, unless
+    they are compressed; landed ones hold few documents each.
     """
     lines = spark.read.schema(_LINES).text(path)
     if ingest_dates is not None:
@@ -64,7 +73,7 @@ def land_documents(
     day: dt.date | str | None = None,
     value: str = "value",
 ) -> None:
-    """Write document texts one per line under ``ingest_date=YYYYMMDD``.
+    """Write document texts one per line under ``ingest_date=YYYYMMDD``, in compressed files.
 
     Line breaks in valid JSON sit between tokens only, so turning them into spaces keeps the
     document the same. Landing a date again replaces that date alone.
@@ -72,7 +81,8 @@ def land_documents(
     one_line = F.regexp_replace(F.col(value), r"[\r\n]+", " ")
     landed = _stamped(documents, one_line, day)
     (
-        landed.write.mode("overwrite")
+        packed(landed.write, DOCUMENTS_A_FILE)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(INGEST_DATE)
         .text(path)

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quakelake.files import packed
 from quakelake.operators.checked import KEPT, LOST, OUTCOME, REJECTED
 from quakelake.schema import REJECTS, TOLERANT_SILVER
-from quakelake.sources.tables import VersionedTable
+from quakelake.sources.tables import ROWS_A_TEXT_FILE, VersionedTable
 
 def json_line(*columns: str) -> Column:
     """A row as one JSON object; null fields are written, not left out."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def write_lines(rows: DataFrame, path: str) -> None:
+def write_lines(rows: DataFrame, path: str, compressed: bool = False) -> None:
     """Any rows as JSON lines with their null fields."""
-    rows.select(json_line(*rows.columns).alias("value")).write.mode("overwrite").text(path)
+    writer = rows.select(json_line(*rows.columns).alias("value")).write.mode("overwrite")
+    (packed(writer, ROWS_A_TEXT_FILE) if compressed else writer).text(path)
 
 
 def outcome_lines(rows: DataFrame) -> DataFrame:

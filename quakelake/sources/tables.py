@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quakelake.files import delete_folder, exists, names_in, publish_new, read_small, stored_bytes
+from quakelake.files import delete_folder, exists, names_in, packed, publish_new, read_small, stored_bytes
 from quakelake.operators.checked import KEPT, OUTCOME
 from quakelake.session import setting
 
@@ -19,6 +19,8 @@ POSITION = ("file_path", "row_index")
 _COMMITS = "version BIGINT, folder STRING, row_count BIGINT, committed_at TIMESTAMP"
 # Pairs of a key and a file that are compared to find the files that may hold the keys.
 MOST_COMPARED = 100_000_000
+# Rows of one text file, which is compressed and so one task's work.
+ROWS_A_TEXT_FILE = 100_000
 
 
 def with_position(stored: DataFrame) -> DataFrame:
@@ -215,6 +217,10 @@ class VersionedTable:
         seen = Observation()
         observed = rows.observe(seen, F.count(F.lit(1)).alias("all"), counted.alias("row_count"))
         writer = observed.write.mode("errorifexists").format(self.stored_as)
+        if self.stored_as == "parquet":
+            writer = writer.option("compression", "zstd")
+        else:
+            writer = packed(writer, ROWS_A_TEXT_FILE)
         # A few outcomes only: writers for all of them stay open, and no task sorts its rows.
         with setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", "4" if parted else None):
             (writer.partitionBy(OUTCOME) if parted else writer).save(self._folder(folder))

@@ -111,3 +111,36 @@ def test_outcomes_are_kept_apart(spark, tmp_path, lines, feature, collection):
     raws = {row["reason"]: row["raw"] for row in rejects.collect()}
     assert raws["unreadable document"] == "{bad"
     assert json.loads(raws["missing title"])["id"] == "ev1"
+
+
+def test_landed_documents_are_compressed_and_few_to_a_file(spark, tmp_path, feature, collection):
+    """A compressed file is one task's work, so it holds a bounded number of documents."""
+    path = tmp_path / "bronze"
+    text = json.dumps(collection(*[feature(id_=f"ev{i}") for i in range(50)]))
+    documents = spark.range(0, 300, 1, 1).selectExpr(f"'{text}' AS value")
+    land_documents(documents, str(path), "2024-01-30")
+    files = list((path / "ingest_date=20240130").glob("part-*"))
+    assert len(files) == 3 and all(file.suffix == ".gz" for file in files)
+    assert sum(file.stat().st_size for file in files) < 300 * len(text) / 5
+    landed = scan_lines(spark, str(path), ["20240130"])
+    assert landed.count() == 300 and landed.distinct().first()["value"] == text
+
+
+def test_compressed_documents_are_scanned_whole(spark, tmp_path, feature, collection):
+    """Bytes of a compressed file are not those of its text: it is not cut, however long it is."""
+    import gzip
+
+    raw = json.dumps(collection(*[feature(id_=f"ev{i}", code=str(i * 7919)) for i in range(200)]))
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(raw.encode()))
+    (tmp_path / "b.json").write_text(raw)
+    documents = scan_documents(spark, str(tmp_path), split=1_000)
+    assert documents.count() > 2
+    counts = explode_raw_features(documents).selectExpr("count(feature) AS n", "count(problem) AS bad").first()
+    assert tuple(counts) == (400, 0)
+
+
+def test_json_lines_can_be_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([("a", None), (None, 2)], "s STRING, n INT")
+    write_lines(rows, str(tmp_path / "lines"), compressed=True)
+    assert {file.suffix for file in (tmp_path / "lines").glob("part-*")} == {".gz"}
+    assert sorted(map(repr, spark.read.schema(rows.schema).json(str(tmp_path / "lines")).collect())) == sorted(map(repr, rows.collect()))

@@ -250,3 +250,19 @@ def test_an_indexed_table_may_become_empty_and_full_again(spark, table):
     with pytest.raises(EmptyBatchError):
         table.replace(people(spark, 0, 0), index_by=["id"])
     assert values(table.read()) == [5, 6]
+
+
+def test_content_is_compressed(spark, tmp_path):
+    """Parquet as zstd; texts as gzip, with a bounded number of rows a file."""
+    import glob
+
+    rows = spark.range(0, 250_000, 1, 1).selectExpr("id", "'https://example.org/event/' || id AS url")
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(rows)
+    assert all(path.endswith(".zstd.parquet") for path in glob.glob(f"{table.location()}/part-*"))
+    assert table.read().agg({"id": "sum"}).first()[0] == 250_000 * 249_999 // 2
+    text = VersionedTable(spark, str(tmp_path / "l"), stored_as="text")
+    text.replace(rows.selectExpr("url AS value"))
+    files = glob.glob(f"{text.location()}/part-*")
+    assert len(files) == 3 and all(path.endswith(".gz") for path in files)
+    assert text.read().distinct().count() == 250_000
