@@ -4,6 +4,9 @@ Semi and anti joins need only the keys of the other side, so that side is one na
 distinct keys: copies collapse before their shuffle, and a hot key arrives once. The join method
 is left to Spark, which broadcasts keys it knows to be few and sort-merges the rest; adaptive
 execution then splits a hot (or null) key of the wide side over many tasks.
+
+Of rows of both sides without a match, where both would be shuffled whole, a bit map of the keys that
+both have is broadcast, and only rows that hit it are joined: the others stay where they are read.
 """
 
 from __future__ import annotations
@@ -11,7 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quakelake.operators.membership import with_membership
+
 KEY = "ids"
+_PERHAPS = "_perhaps"
 
 
 def distinct_keys(rows: DataFrame) -> DataFrame:
@@ -36,6 +42,14 @@ def _shared_keys(gold: DataFrame, daily: DataFrame) -> DataFrame:
     return sides.where("sides = 3").select(F.concat(KEY, F.lit("")).alias(KEY))
 
 
+def _without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Left anti with distinct keys, the key first; only rows that may have one of them are shuffled."""
+    marked = with_membership(rows, F.col(KEY).cast("string"), keys, F.col(KEY).cast("string"), _PERHAPS)
+    sure = marked.where(~F.col(_PERHAPS)).drop(_PERHAPS)
+    unsure = marked.where(_PERHAPS).drop(_PERHAPS).join(keys, [KEY], "left_anti")
+    return sure.select(*unsure.columns).unionByName(unsure)
+
+
 def matched_keys(gold: DataFrame, daily_keys: DataFrame) -> DataFrame:
     """The distinct keys of daily that gold has: only they remove gold rows. One column is read."""
     return gold.select(KEY).join(daily_keys, [KEY], "left_semi").distinct()
@@ -54,10 +68,11 @@ def rows_also_in(rows: DataFrame, others: DataFrame) -> DataFrame:
 def unmatched_rows(gold: DataFrame, daily: DataFrame) -> DataFrame:
     """Rows of either side whose key the other lacks, copies included.
 
-    One aggregate finds the keys that both sides have; each side is then joined once with those.
+    One aggregate finds the keys that both sides have; of each side the rows that may have one of
+    them are then joined once with those.
     """
     shared = _shared_keys(gold, daily)
-    return gold.join(shared, [KEY], "left_anti").unionByName(daily.join(shared, [KEY], "left_anti"))
+    return _without(gold, shared).unionByName(_without(daily, shared))
 
 
 def upsert(gold: DataFrame, daily: DataFrame, daily_keys: DataFrame | None = None) -> DataFrame:

@@ -107,3 +107,24 @@ def test_a_hot_key_is_split(spark, hot):
     counted = rows_only_in(rows, daily).agg(F.count("v"), F.max("v"))
     assert counted.collect()[0][0] == 20_000 + 20_000
     assert "SortMergeJoin(skew=true)" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_a_match_are_not_shuffled(spark):
+    """Of wide rows only those that may have a shared key go to the join, copies and null keys included."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+
+    def side(first, last, word):
+        key = F.when(F.col("id") % 11 != 0, (F.col("id") - F.col("id") % 5).cast("string"))
+        return session.range(first, last).select(F.concat(F.lit(word), "id").alias("v"), key.alias("ids"))
+
+    gold, daily = side(0, 3_000, "h"), side(2_800, 5_000, "d")
+    by_key = lambda rows, others, kind: rows.join(others.select("ids").distinct(), ["ids"], kind)
+    expected = by_key(gold, daily, "left_anti").unionByName(by_key(daily, gold, "left_anti"))
+    found = unmatched_rows(gold, daily)
+    assert found.columns == expected.columns and bag(found) == bag(expected)
+    assert bag(unmatched_rows(gold, gold.limit(0))) == bag(gold.select("ids", "v"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
