@@ -10,10 +10,16 @@ null keys. Magnitudes are binary fractions, so their sums are exact in any order
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quakelake.session import MOST_PARTITIONS
+
 FEATURES_PER_DOCUMENT = 200
+# Documents that meet in one task: some 20 MB of texts, and fewer groups than a hash aggregate keeps before it sorts.
+DOCUMENTS_A_TASK = 100
 _DAY_MILLIS = 86_400_000
 
 
@@ -250,21 +256,32 @@ def _documents(features: DataFrame, separator: str, *also: str) -> DataFrame:
     )
 
 
-def _by_document(base: DataFrame) -> DataFrame:
-    """The one shuffle of a feed, while the rows are still narrow."""
-    return base.repartition("document")
+def _by_document(base: DataFrame, source: DataFrame) -> DataFrame:
+    """The one shuffle of a feed, while the rows are still narrow.
+
+    Its partitions follow from the number of source rows: rows grow tenfold when they become texts, so
+    partitions joined by the size of what is shuffled would sort and spill the texts.
+    """
+    documents = source.count() / FEATURES_PER_DOCUMENT
+    tasks = max(source.sparkSession.sparkContext.defaultParallelism, math.ceil(documents / DOCUMENTS_A_TASK))
+    return base.repartition(min(tasks, MOST_PARTITIONS), "document")
+
+
+def _history_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_document(_history_base(spark, sf_dir), _table(spark, sf_dir, "events"))
 
 
 def history(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
-    return _documents(_regular(_by_document(_history_base(spark, sf_dir))), separator)
+    return _documents(_regular(_history_by_document(spark, sf_dir)), separator)
 
 
 def daily(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
-    return _documents(_regular(_by_document(_daily_base(spark, sf_dir))), separator)
+    base = _by_document(_daily_base(spark, sf_dir), _table(spark, sf_dir, "orders"))
+    return _documents(_regular(base), separator)
 
 
 def tolerant(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
-    return _documents(_with_faults(_by_document(_history_base(spark, sf_dir))), separator)
+    return _documents(_with_faults(_history_by_document(spark, sf_dir)), separator)
 
 
 def faulty(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
@@ -272,7 +289,8 @@ def faulty(spark: SparkSession, sf_dir: str, separator: str = " ") -> DataFrame:
     one text holds two documents."""
     base = _history_base(spark, sf_dir)
     number = F.floor(F.col("k") / FEATURES_PER_DOCUMENT)
-    documents = _documents(_stray(_by_document(base.withColumn("document", number))), separator, "document")
+    dealt = _by_document(base.withColumn("document", number), _table(spark, sf_dir, "events"))
+    documents = _documents(_stray(dealt), separator, "document")
     text, kind = F.col("value"), F.col("document") % 5
     return documents.select(
         F.when(kind == 1, F.substring(text, F.lit(1), F.length(text) - 3))
