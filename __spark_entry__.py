@@ -291,7 +291,7 @@ def _scd1_merge(lake: Lake) -> DataFrame:
 
 def _gold_ordered(lake: Lake) -> DataFrame:
     gold, daily = (with_position(side) for side in _sides(lake))
-    return ordered_by_key(upsert(gold, daily), *POSITION).drop(*POSITION)
+    return ordered_by_key(upsert(gold, daily, sorted_next=True), *POSITION).drop(*POSITION)
 
 
 def _distinct_daily_keys(lake: Lake) -> DataFrame:

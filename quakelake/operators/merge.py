@@ -5,8 +5,8 @@ distinct keys: copies collapse before their shuffle, and a hot key arrives once.
 is left to Spark, which broadcasts keys it knows to be few and sort-merges the rest; adaptive
 execution then splits a hot (or null) key of the wide side over many tasks.
 
-Of rows of both sides without a match, where both would be shuffled whole, a bit map of the keys that
-both have is broadcast, and only rows that hit it are joined: the others stay where they are read.
+Where a side would be shuffled whole (rows of both sides without a match, an upsert), a bit map of the keys
+that both have is broadcast, and only rows that hit it are joined: the others stay where they are read.
 """
 
 from __future__ import annotations
@@ -75,16 +75,29 @@ def unmatched_rows(gold: DataFrame, daily: DataFrame) -> DataFrame:
     return _without(gold, shared).unionByName(_without(daily, shared))
 
 
-def upsert(gold: DataFrame, daily: DataFrame, daily_keys: DataFrame | None = None) -> DataFrame:
+def upsert(
+    gold: DataFrame,
+    daily: DataFrame,
+    daily_keys: DataFrame | None = None,
+    few: bool = True,
+    sorted_next: bool = False,
+) -> DataFrame:
     """Gold after the batch: the gold rows that daily does not replace, then all of daily.
 
     Daily rows new to gold and daily rows that replace something are together all of daily, so
     one anti join does the work and daily is not joined at all. The key becomes the first column.
-    ``daily_keys`` are the distinct keys of daily when the caller has stored them: their size is
-    then known before the join is planned, and few keys spare gold its shuffle altogether.
+    ``daily_keys`` are distinct keys of daily when the caller has stored them, all or those that gold has:
+    a ``few`` are joined as they are, which spares gold its shuffle altogether. Else only gold rows that
+    may have one of the keys are shuffled, unless all rows are to be sorted next: a sort runs what is before
+    it twice, but no shuffle again.
     """
-    keys = _join_keys(daily) if daily_keys is None else daily_keys
-    return gold.join(keys, [KEY], "left_anti").unionByName(daily)
+    if daily_keys is not None and few:
+        kept = gold.join(daily_keys, [KEY], "left_anti")
+    elif sorted_next:
+        kept = gold.join(_join_keys(daily if daily_keys is None else daily_keys), [KEY], "left_anti")
+    else:
+        kept = _without(gold, _shared_keys(gold, daily) if daily_keys is None else _join_keys(daily_keys))
+    return kept.unionByName(daily)
 
 
 def ordered_by_key(rows: DataFrame, *tie_break: str) -> DataFrame:

@@ -131,13 +131,13 @@ def merge_gold(
         if gold.is_indexed() and not ordered:
             touched = gold.files_with(KEY, known, keys.row_count())
             history = gold.read_files(touched).drop(LOAD_TIME)
-            return gold.rewrite(touched, upsert(history, daily, known), cluster_by=GOLD_CLUSTER, stamps=stamp(at))
+            return gold.rewrite(touched, upsert(history, daily, known, few), cluster_by=GOLD_CLUSTER, stamps=stamp(at))
         history = gold.read().drop(LOAD_TIME)
         if ordered:
             history, daily = with_position(history), with_position(daily)
-            merged, cluster = ordered_by_key(upsert(history, daily, known), *POSITION).drop(*POSITION), ()
+            merged, cluster = ordered_by_key(upsert(history, daily, known, few, sorted_next=True), *POSITION).drop(*POSITION), ()
         else:
-            merged, cluster = upsert(history, daily, known), GOLD_CLUSTER
+            merged, cluster = upsert(history, daily, known, few), GOLD_CLUSTER
         return gold.replace(merged, cluster_by=cluster, allow_empty=allow_empty, stamps=stamp(at), index_by=GOLD_INDEX)
 
 

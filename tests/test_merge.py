@@ -128,3 +128,19 @@ def test_rows_without_a_match_are_not_shuffled(spark):
     assert bag(unmatched_rows(gold, gold.limit(0))) == bag(gold.select("ids", "v"))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_an_upsert_by_many_keys_leaves_rows_in_place(spark, stored):
+    """Of wide gold rows only those that may have a key of the batch go to the join."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    key = F.when(F.col("id") % 7 != 0, (F.col("id") * 31 % 397).cast("string")).alias("ids")
+    gold = session.range(900).select(F.concat(F.lit("h"), "id").alias("v"), key)
+    daily = session.range(300, 420).select(F.concat(F.lit("d"), "id").alias("v"), key)
+    found = upsert(gold, daily, distinct_keys(daily) if stored else None, few=False)
+    expected = three_joins(gold, daily)
+    assert found.columns == expected.columns and bag(found) == bag(expected)
+    assert bag(upsert(gold, daily, sorted_next=True)) == bag(expected)
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
