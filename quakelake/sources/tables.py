@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from quakelake.files import delete_folder, exists, names_in, packed, publish_new, read_small, stored_bytes
 from quakelake.operators.checked import KEPT, OUTCOME
-from quakelake.session import setting
+from quakelake.session import MIB, setting
 
 POSITION = ("file_path", "row_index")
 _COMMITS = "version BIGINT, folder STRING, row_count BIGINT, committed_at TIMESTAMP"
@@ -21,6 +21,8 @@ _COMMITS = "version BIGINT, folder STRING, row_count BIGINT, committed_at TIMEST
 MOST_COMPARED = 100_000_000
 # Rows of one text file, which is compressed and so one task's work.
 ROWS_A_TEXT_FILE = 100_000
+# Stored bytes that one task reads if it is to sort them: rows take some ten times as much while they are sorted.
+SORTED_BYTES = 32 * MIB
 
 
 def with_position(stored: DataFrame) -> DataFrame:
@@ -222,7 +224,10 @@ class VersionedTable:
         else:
             writer = packed(writer, ROWS_A_TEXT_FILE)
         # A few outcomes only: writers for all of them stay open, and no task sorts its rows.
-        with setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", "4" if parted else None):
+        with (
+            setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", "4" if parted else None),
+            setting(self.spark, "spark.sql.files.maxPartitionBytes", str(SORTED_BYTES) if cluster_by else None),
+        ):
             (writer.partitionBy(OUTCOME) if parted else writer).save(self._folder(folder))
         commit = {"version": version, "folder": folder, "row_count": seen.get["row_count"], "stamps": dict(stamps or {})}
         produced = seen.get["all"]

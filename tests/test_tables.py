@@ -266,3 +266,16 @@ def test_content_is_compressed(spark, tmp_path):
     files = glob.glob(f"{text.location()}/part-*")
     assert len(files) == 3 and all(path.endswith(".gz") for path in files)
     assert text.read().distinct().count() == 250_000
+
+
+def test_rows_to_be_sorted_are_read_in_small_splits(spark, tmp_path, monkeypatch):
+    """A task that sorts gets files up to a bound of stored bytes, whatever the session reads at once."""
+    monkeypatch.setattr("quakelake.sources.tables.SORTED_BYTES", 1 << 20)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    path = str(tmp_path / "rows")
+    spark.range(800).repartition(8).write.parquet(path)
+    table = VersionedTable(spark, str(tmp_path / "sorted"))
+    table.replace(spark.read.parquet(path), cluster_by=["id"])
+    assert values(table.read()) == list(range(800))
+    assert table.read().select("_metadata.file_path").distinct().count() == 8
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
