@@ -15,6 +15,9 @@ SHUFFLE_TARGET_BYTES = 256 * MIB
 MOST_PARTITIONS = 20_000
 # Of a key that a feature repeats, the last value counts.
 _LAST_KEY_COUNTS = "spark.sql.variant.allowDuplicateKeys"
+# Generated methods of more bytes are never compiled by the JVM; such stages run their expressions one by one,
+# which is faster. Thirty fields of a feature make such methods.
+_LONGEST_METHOD = ("spark.sql.codegen.hugeMethodLimit", "8000")
 
 _local_dirs: dict[str, str] = {}
 
@@ -42,9 +45,13 @@ def build_session(app_name: str = "quakelake", master: str | None = None, **conf
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
-    """Settings that results depend on: times are rendered in UTC, the last of repeated keys counts."""
+    """Settings that results depend on: times are rendered in UTC, the last of repeated keys counts.
+
+    One more spares time alone.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set(_LAST_KEY_COUNTS, "true")
+    spark.conf.set(*_LONGEST_METHOD)
     return spark
 
 
