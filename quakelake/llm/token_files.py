@@ -59,7 +59,7 @@ def _wide(payload: bytes, width: int = ID_BYTES) -> bytes:
 
 def _shards(path: str | None, name: str, end_id: int, width: int, shard_tokens: int):
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path or tokenizer_path(name)).encode
+        encode_all = encoder(path or tokenizer_path(name)).encode_all
         end = end_id.to_bytes(4, "little")
         part, shard, start = TaskContext.get().partitionId(), 0, 0
         keys: list[int | None] = []
@@ -88,8 +88,8 @@ def _shards(path: str | None, name: str, end_id: int, width: int, shard_tokens:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _KINDS)], _NAMES)
 
         for batch in slices(batches):
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encode(text or "") + end
+            for key, ids in zip(batch.column("doc_id").to_pylist(), encode_all(batch.column("text"))):
+                ids += end
                 keys.append(key)
                 lengths.append(len(ids) // 4)
                 payload.append(_narrow(ids, width))
