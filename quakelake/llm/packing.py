@@ -108,7 +108,6 @@ def _pack(path: str | None, name: str, window: int, end_id: int):
         file = path or tokenizer_path(name)
         settle(encoder_name(file))
         own = encoder(file)
-        encode = own.encode
         end = end_id.to_bytes(_BYTES, "little")
         packer = Packer(window)
         next_id = TaskContext.get().partitionId() << 32
@@ -136,8 +135,8 @@ def _pack(path: str | None, name: str, window: int, end_id: int):
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in slices(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                take(packer.add(doc_id, encode(text or "") + end))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode_all(batch.column("text"))):
+                take(packer.add(doc_id, ids + end))
                 if size >= _BATCH_BYTES:
                     yield passed_on()
         take(packer.close())
